@@ -5,61 +5,66 @@ Fixed values: field names, order and types are the feeds' and tables' contracts.
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType, BooleanType, DataType, DoubleType, FloatType, IntegerType, LongType, MapType, StringType, StructField,
+    StructType, TimestampNTZType, TimestampType,
+)
 
 POSTS_TOPIC = "twitter-data"
 VIEWERSHIP_TOPIC = "viewership-data"
 ADS_TOPIC = "ad-data"
 
-USER = (
-    "struct<id: string, name: string, username: string, location: string, "
-    "verified: boolean, profile_image_url: string>"
-)
+TEXT, FLAG = StringType(), BooleanType()
+INT, LONG, FLOAT, DOUBLE = IntegerType(), LongType(), FloatType(), DoubleType()
+TIME, NAIVE_TIME = TimestampType(), TimestampNTZType()
+
+
+def struct(**fields: DataType) -> StructType:
+    return StructType([StructField(name, kind) for name, kind in fields.items()])
+
 
-POST = StructType.fromDDL(
-    "id string, text string, created_at string, lang string, metrics map<string, int>, "
-    f"user {USER}, source string, keywords array<string>, processed_at string"
+USER = struct(id=TEXT, name=TEXT, username=TEXT, location=TEXT, verified=FLAG, profile_image_url=TEXT)
+
+POST = struct(
+    id=TEXT, text=TEXT, created_at=TEXT, lang=TEXT, metrics=MapType(TEXT, INT), user=USER, source=TEXT,
+    keywords=ArrayType(TEXT), processed_at=TEXT,
 )
 
-VIEWERSHIP = StructType.fromDDL(
-    "timestamp string, total_viewers int, "
-    "regional_data array<struct<region: string, viewers: int, engagement_rate: float>>, "
-    "platform_data array<struct<platform: string, viewers: int, buffer_rate: float, avg_resolution: string>>"
+VIEWERSHIP = struct(
+    timestamp=TEXT,
+    total_viewers=INT,
+    regional_data=ArrayType(struct(region=TEXT, viewers=INT, engagement_rate=FLOAT)),
+    platform_data=ArrayType(struct(platform=TEXT, viewers=INT, buffer_rate=FLOAT, avg_resolution=TEXT)),
 )
 
-ADS = StructType.fromDDL(
-    "timestamp string, ads array<struct<type: string, impressions: int, clicks: int, ctr: float, "
-    "cost: float, conversions: int, cost_per_conversion: float, "
-    "regions: array<struct<region: string, impressions: int, clicks: int, ctr: float>>>>"
+AD_REGION = struct(region=TEXT, impressions=INT, clicks=INT, ctr=FLOAT)
+AD = struct(
+    type=TEXT, impressions=INT, clicks=INT, ctr=FLOAT, cost=FLOAT, conversions=INT, cost_per_conversion=FLOAT,
+    regions=ArrayType(AD_REGION),
 )
+ADS = struct(timestamp=TEXT, ads=ArrayType(AD))
 
 # One response of the social search service: posts plus the users they refer to.
-POST_ENVELOPE = StructType.fromDDL(
-    "data array<struct<id: string, text: string, created_at: string, lang: string, author_id: string, "
-    f"public_metrics: map<string, int>>>, includes struct<users: array<{USER}>>"
-)
+RAW_POST = struct(id=TEXT, text=TEXT, created_at=TEXT, lang=TEXT, author_id=TEXT, public_metrics=MapType(TEXT, INT))
+POST_ENVELOPE = struct(data=ArrayType(RAW_POST), includes=struct(users=ArrayType(USER)))
 
-CAMPAIGN = StructType.fromDDL(
-    "campaign string, impressions bigint, clicks bigint, cost double, conversions bigint, date string"
-)
+CAMPAIGN = struct(campaign=TEXT, impressions=LONG, clicks=LONG, cost=DOUBLE, conversions=LONG, date=TEXT)
 
-SENTIMENT = "struct<positive: float, neutral: float, negative: float, compound: float>"
+SENTIMENT = struct(positive=FLOAT, neutral=FLOAT, negative=FLOAT, compound=FLOAT)
+SCORED_POST = StructType([*POST.fields, StructField("created_ts", TIME), StructField("sentiment", SENTIMENT)])
 
 # Per-record warehouse tables.
-VIEWERSHIP_TABLE = StructType.fromDDL(
-    "id string, timestamp timestamp_ntz, match_id string, total_viewers int, region string, "
-    "platform string, avg_watch_time double"
+VIEWERSHIP_TABLE = struct(
+    id=TEXT, timestamp=NAIVE_TIME, match_id=TEXT, total_viewers=INT, region=TEXT, platform=TEXT, avg_watch_time=DOUBLE,
 )
-SENTIMENT_TABLE = StructType.fromDDL(
-    "id string, timestamp timestamp_ntz, match_id string, source string, text string, compound double, "
-    "positive double, neutral double, negative double, region string"
+SENTIMENT_TABLE = struct(
+    id=TEXT, timestamp=NAIVE_TIME, match_id=TEXT, source=TEXT, text=TEXT, compound=DOUBLE, positive=DOUBLE,
+    neutral=DOUBLE, negative=DOUBLE, region=TEXT,
 )
-AD_PERFORMANCE_TABLE = StructType.fromDDL(
-    "id string, timestamp timestamp_ntz, match_id string, ad_id string, type string, impressions int, "
-    "clicks int, conversions int, cost double, ctr double"
+AD_PERFORMANCE_TABLE = struct(
+    id=TEXT, timestamp=NAIVE_TIME, match_id=TEXT, ad_id=TEXT, type=TEXT, impressions=INT, clicks=INT, conversions=INT,
+    cost=DOUBLE, ctr=DOUBLE,
 )
 
 # Latest state: one row per child of a path.
-STATE = StructType.fromDDL(
-    "path string, key string, value_json string, updated_at timestamp, batch_id bigint"
-)
+STATE = struct(path=TEXT, key=TEXT, value_json=TEXT, updated_at=TIME, batch_id=LONG)

@@ -12,20 +12,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from tidecast.operators.flatten import ads_flat, platform_viewership, regional_ads, regional_viewership
 from tidecast.operators.latest import latest_ads, latest_sentiment, latest_viewership
 from tidecast.operators.state import children, keyed_children, state_set, state_update
-from tidecast.schemas import ADS, POST, SENTIMENT, VIEWERSHIP
+from tidecast.schemas import ADS, POST, SCORED_POST, VIEWERSHIP
 from tidecast.sources.messages import decode, parse_posts, parsed_rows, parse_rejects, rejected_rows
 from tidecast.streaming.sinks import BatchWriter, StateTable, batch_writer, fan_out
 from tidecast.streaming.windows import flat_windows, sentiment_windows
 
-SCORED_POST = StructType.fromDDL(
-    ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in POST.fields)
-    + f", created_ts timestamp, sentiment {SENTIMENT}"
-)
 SENTIMENT_FIELDS = ["timestamp", "positive", "neutral", "negative", "compound"]
 VIEWERSHIP_FIELDS = ["timestamp", "total_viewers", "regional_data", "platform_data"]
 AD_FIELDS = ["type", "impressions", "clicks", "ctr", "cost", "conversions", "cost_per_conversion"]
@@ -87,10 +82,8 @@ def start_latest_sentiment(posts: DataFrame, layout: Layout, trigger: dict, mode
     ``update`` hands over changed windows and forgets old ones; ``complete`` repeats every window in every
     batch and keeps them all.  The state is the same, as it only takes the newest.
     """
-    spark = posts.sparkSession
-    table = StateTable(spark, layout.state("sentiment"))
-
     def write(batch: DataFrame, batch_id: int) -> None:
+        table = StateTable(batch.sparkSession, layout.state("sentiment"))
         changes = children(latest_sentiment(batch), "sentiment", SENTIMENT_FIELDS, batch_id=batch_id)
         table.commit(state_update(table.read(batch_id), changes), batch_id)
 
@@ -99,12 +92,11 @@ def start_latest_sentiment(posts: DataFrame, layout: Layout, trigger: dict, mode
 
 def start_viewership(messages: DataFrame, layout: Layout, trigger: dict) -> StreamingQuery:
     """Viewership messages to raw, regional and platform tables, rejects, and the state ``viewership``."""
-    table = StateTable(messages.sparkSession, layout.state("viewership"))
-
     def parsed(decoded: DataFrame) -> DataFrame:
         return parsed_rows(decoded, VIEWERSHIP, "timestamp", "event_ts")
 
     def write_state(decoded: DataFrame, batch_id: int) -> None:
+        table = StateTable(decoded.sparkSession, layout.state("viewership"))
         changes = children(latest_viewership(parsed(decoded)), "viewership", VIEWERSHIP_FIELDS, batch_id=batch_id)
         table.commit(state_update(table.read(batch_id), changes), batch_id)
 
@@ -124,8 +116,6 @@ def start_ads(messages: DataFrame, layout: Layout, trigger: dict) -> StreamingQu
 
     The state's list of ads is replaced as a whole by the totals of each batch that has any.
     """
-    table = StateTable(messages.sparkSession, layout.state("ads"))
-
     def parsed(decoded: DataFrame) -> DataFrame:
         return parsed_rows(decoded, ADS, "timestamp", "event_ts")
 
@@ -134,6 +124,7 @@ def start_ads(messages: DataFrame, layout: Layout, trigger: dict) -> StreamingQu
         try:
             if totals.isEmpty():
                 return
+            table = StateTable(decoded.sparkSession, layout.state("ads"))
             listed = keyed_children(totals, "ads/ads", "type", AD_FIELDS, batch_id=batch_id)
             stamp = children(totals.select("updated_at", "timestamp").distinct(), "ads", ["timestamp"],
                              batch_id=batch_id)
