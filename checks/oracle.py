@@ -6,10 +6,20 @@ building, parsing and storing its messages does not match.
 
 from __future__ import annotations
 
-from tidecast.functions.text import HASHTAG_PATTERN, MENTION_PATTERN, SPACES_PATTERN, TOKEN_PATTERN, URL_PATTERN
 from tidecast.plans.feeds import ENVELOPE_SIZE, KEYWORDS, LEXICON, RESOLUTIONS, STOP_WORDS
 
 
+# White space and word characters, spelled out for an engine whose own classes are ASCII.
+SPACE = (r"\t\n\x0B\x0C\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+         r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
+WORD = r"\p{L}\p{N}_"
+TOKEN = rf"([{WORD}\p{{M}}]+)"
+CLEANING = [
+    (rf"https?://[^{SPACE}]+|www\.[^{SPACE}]+", ""), (rf"@[{WORD}]+", ""), (rf"#([{WORD}]+)", r"\1"),
+    (rf"[{SPACE}]+", " "),
+]
+
+
 def listing(values) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
@@ -25,13 +35,13 @@ def rnd(value: str, digits: int = 6) -> str:
 
 def clean(text: str) -> str:
     out = f"lower({text})"
-    for pattern, replacement in [(URL_PATTERN, ""), (MENTION_PATTERN, ""), (HASHTAG_PATTERN, "\\1"), (SPACES_PATTERN, " ")]:
+    for pattern, replacement in CLEANING:
         out = f"regexp_replace({out}, '{pattern}', '{replacement}', 'g')"
     return f"trim({out})"
 
 
 def kept(text: str) -> str:
-    return f"list_filter(regexp_extract_all({text}, '{TOKEN_PATTERN}', 1), lambda w: w NOT IN ({listing(STOP_WORDS)}))"
+    return f"list_filter(regexp_extract_all({text}, '{TOKEN}', 1), lambda w: w NOT IN ({listing(STOP_WORDS)}))"
 
 
 def ratio2(value: str) -> str:
@@ -109,7 +119,7 @@ CTES = {
                + ", ".join(f"('{w}', {v}::DOUBLE)" for w, v in LEXICON) + ") AS t(token, valence)",
     "word_list": f"""
         SELECT token, round(((length(token) % 9) - 4) / 2.0::DOUBLE * 1e6)::BIGINT AS v FROM (
-            SELECT DISTINCT unnest(regexp_extract_all({clean('text')}, '{TOKEN_PATTERN}', 1)) AS token FROM benchmark)""",
+            SELECT DISTINCT unnest(regexp_extract_all({clean('text')}, '{TOKEN}', 1)) AS token FROM benchmark)""",
     "classifier": """
         SELECT doc_id::VARCHAR AS id, CASE WHEN toxic = 0 THEN s ELSE 1.0::DOUBLE - s END AS h FROM (
             SELECT *, CASE WHEN quality = 1 THEN 0.9::DOUBLE ELSE 0.6::DOUBLE END AS s FROM labels)""",
@@ -310,6 +320,17 @@ for name in ("sentiment_5min", "sentiment_5min_complete"):
     oracle(name, f"SELECT {WINDOW} FROM windows", "windows")
 for name in ("sentiment_5min_append", "sink_sentiment"):
     oracle(name, f"SELECT {WINDOW} FROM closed", "closed")
+oracle("sentiment_late_drop", f"""
+    SELECT {WINDOW} FROM (
+        SELECT ws, we, avg(positive) AS p, avg(neutral) AS u, avg(negative) AS n, avg(compound) AS c
+        FROM (SELECT *, max(CASE WHEN on_time THEN created_ts END) OVER () - INTERVAL 10 MINUTE AS mark,
+                     max(created_ts) OVER () - INTERVAL 10 MINUTE AS last_mark
+              FROM (SELECT s.*, p.created_ts, time_bucket(INTERVAL 5 MINUTE, p.created_ts) AS ws,
+                        time_bucket(INTERVAL 5 MINUTE, p.created_ts) + INTERVAL 5 MINUTE AS we,
+                        p.event_type <> 'error' AND p.created_ts < TIMESTAMP '2024-01-02 12:00:00' AS on_time
+                    FROM sentiment s JOIN posts p ON s.id = p.id))
+        WHERE (on_time OR we > mark) AND we <= last_mark
+        GROUP BY ws, we)""", "sentiment", "posts")
 oracle("fanout_counts", """
     SELECT 'posts' AS name, count(*) AS n FROM posts UNION ALL SELECT 'sentiment_windows', count(*) FROM closed
     UNION ALL SELECT 'viewership', count(*) FROM viewership UNION ALL SELECT 'regional_viewership', count(*) FROM regional

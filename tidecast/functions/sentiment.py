@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidecast.functions.rounding import round_half_up
-from tidecast.functions.text import clean_text, tokens
+from tidecast.functions.text import strip_markup, tokens
 from tidecast.schemas import SENTIMENT
 
 MICROS = 1_000_000
@@ -29,7 +29,6 @@ POSITIVE_LABEL = "POSITIVE"
 
 # Up to this many entries the lexicon travels inside the plan; a larger one is joined instead.
 MAX_INLINE_ENTRIES = 50_000
-BUCKETS = 4096
 
 SUMS = "struct<gain: bigint, loss: bigint, net: bigint, hits: bigint>"
 
@@ -48,30 +47,24 @@ class InlineLexicon:
     """
 
     buckets_json: str
+    n_buckets: int
 
     def micros(self, token: Column) -> Column:
         table = F.from_json(F.lit(self.buckets_json), "array<map<string, bigint>>")
-        return F.element_at(F.get(table, bucket_of(token)), token)
-
-
-def bucket_of(token: Column) -> Column:
-    return F.pmod(F.xxhash64(token), F.lit(BUCKETS)).cast("int")
+        bucket = F.pmod(F.xxhash64(token), F.lit(self.n_buckets)).cast("int")
+        return F.element_at(F.get(table, bucket), token)
 
 
 def inline_lexicon(lexicon: DataFrame, max_entries: int = MAX_INLINE_ENTRIES) -> InlineLexicon | None:
     """Read the lexicon into a plan literal, or return None when it has more than ``max_entries``."""
-    rows = (
-        lexicon_micros(lexicon)
-        .select("token", "micros", bucket_of(F.col("token")).alias("bucket"))
-        .limit(max_entries + 1)
-        .collect()
-    )
+    entries = lexicon_micros(lexicon).select("token", "micros", F.xxhash64("token").alias("hash"))
+    rows = entries.limit(max_entries + 1).collect()
     if len(rows) > max_entries:
         return None
-    buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
+    buckets: list[dict[str, int]] = [{} for _ in range(max(1, len(rows)))]
     for row in rows:
-        buckets[row.bucket][row.token] = row.micros
-    return InlineLexicon(json.dumps(buckets, ensure_ascii=False))
+        buckets[row.hash % len(buckets)][row.token] = row.micros
+    return InlineLexicon(json.dumps(buckets, ensure_ascii=False), len(buckets))
 
 
 def valence_sums(words: Column, lexicon: InlineLexicon) -> Column:
@@ -176,7 +169,7 @@ def classifier_column(text: Column, make_classifier: Callable[[], Classifier], m
 def lexicon_sentiment(df: DataFrame, text_col: str, lexicon: InlineLexicon,
                       stop_words: Sequence[str] = ()) -> DataFrame:
     """Add pos, neu, neg, compound and n_words for each row, without a shuffle; batch or streaming."""
-    words = df.withColumn("_words", tokens(clean_text(F.col(text_col)), stop_words))
+    words = df.withColumn("_words", tokens(strip_markup(F.col(text_col)), stop_words))
     sums = words.withColumn("n_words", F.size("_words").cast("bigint")) \
         .withColumn("_sums", valence_sums(F.col("_words"), lexicon))
     return sums.select("*", *polarity(F.col("_sums"), F.col("n_words")).values()).drop("_words", "_sums")
@@ -192,7 +185,7 @@ def lexicon_sentiment_joined(df: DataFrame, text_col: str, lexicon: DataFrame,
     keyed = df.withColumn("_key", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
     texts = keyed.groupBy("_key").agg(F.first(text_col).alias("_text"))
     counted = (
-        texts.select("_key", F.explode(tokens(clean_text(F.col("_text")), stop_words)).alias("token"))
+        texts.select("_key", F.explode(tokens(strip_markup(F.col("_text")), stop_words)).alias("token"))
         .groupBy("_key", "token").agg(F.count("*").alias("n"))
     )
     v, n = F.col("micros"), F.col("n")

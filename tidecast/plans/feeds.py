@@ -44,7 +44,13 @@ def message_feed(spark: SparkSession, sf_dir: str, name: str) -> str:
         "posts": post_messages, "envelopes": envelope_messages,
         "viewership": viewership_messages, "ads": ad_messages,
     }[name]
-    return derived(spark, sf_dir, f"feed-{name}", lambda folder: build(spark, sf_dir).write.parquet(folder))
+    return derived(spark, sf_dir, f"feed-{name}", lambda folder: spread(build(spark, sf_dir)).write.parquet(folder))
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Give a feed from a few files at least a file per core, as a topic has several partitions."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if len(rows.inputFiles()) >= cores else rows.repartition(cores)
 
 
 def messages_of(rows: DataFrame) -> DataFrame:

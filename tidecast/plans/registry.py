@@ -24,7 +24,9 @@ from tidecast.operators.aggregates import ads_by_type
 from tidecast.operators.facts import ad_performance_records, sentiment_records, store, viewership_records
 from tidecast.operators.latest import latest_ads, latest_sentiment, latest_viewership
 from tidecast.plans import dashboard, feeds, history
-from tidecast.schemas import AD_PERFORMANCE_TABLE, ADS, SENTIMENT_TABLE, STATE, VIEWERSHIP, VIEWERSHIP_TABLE
+from tidecast.schemas import (
+    AD_PERFORMANCE_TABLE, SCORED_POST, SENTIMENT_TABLE, STATE, VIEWERSHIP, VIEWERSHIP_TABLE,
+)
 from tidecast.session import use_utc
 from tidecast.sources.campaigns import read_campaigns
 from tidecast.sources.messages import (
@@ -472,6 +474,25 @@ def sentiment_5min_complete(spark, sf_dir):
     return spread_windows(rows)
 
 
+LATE_FROM = "2024-01-02 12:00:00"
+
+
+@query("sentiment_late_drop")
+def sentiment_late_drop(spark, sf_dir):
+    """Posts in two deliveries.  The second holds the posts of unknown language, however old: those whose window
+    the first delivery has closed are dropped."""
+    posts = stored_posts(spark, sf_dir)
+    on_time = (F.col("lang") != "unknown") & (F.col("created_ts") < F.lit(LATE_FROM).cast("timestamp"))
+    folder = new_folder(spark, "late")
+    write = batch_writer(f"{folder}/table")
+    for number, delivery in enumerate([posts.where(on_time), posts.where(~on_time)]):
+        delivery.write.parquet(f"{folder}/deliveries/{number}")
+        stream = spark.readStream.schema(SCORED_POST).parquet(f"{folder}/deliveries/*")
+        writer = sentiment_windows(stream).writeStream.outputMode("append").trigger(**NOW).foreachBatch(write)
+        writer.option("checkpointLocation", f"{folder}/checkpoint").start().awaitTermination()
+    return spread_windows(read_batches(spark, f"{folder}/table"))
+
+
 @query("regional_viewership_stream")
 def regional_viewership_stream(spark, sf_dir):
     rows = flatten.regional_viewership(parse_viewership(feed_stream(spark, sf_dir, "viewership")))
