@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidecast.functions.rounding import round_half_up
 from tidecast.functions.text import strip_markup, tokens
+from tidecast.operators.skew import lookup_join
 from tidecast.schemas import SENTIMENT
 
 MICROS = 1_000_000
@@ -134,8 +135,8 @@ Classifier = Callable[[Sequence[str]], tuple[Sequence[str], Sequence[float]]]
 
 
 def classifier_column(text: Column, make_classifier: Callable[[], Classifier], max_chars: int = 512) -> Column:
-    """Score texts with a model: ``make_classifier()`` is called once per worker process and its result takes
-    a list of texts and returns their labels and scores.
+    """Score texts with a model: ``make_classifier()`` is called once per task and its result takes a list of
+    texts and returns their labels and scores.
 
     Models take a limited input.  A longer text is cut into pieces of ``max_chars`` and gets the mean of the
     pieces' scores, weighted by their lengths, so all of it counts.  NULL text, or a NaN score on any piece,
@@ -179,8 +180,8 @@ def lexicon_sentiment_joined(df: DataFrame, text_col: str, lexicon: DataFrame,
                              stop_words: Sequence[str] = ()) -> DataFrame:
     """The same scores for a lexicon too large for the plan, by joins; batch only.
 
-    Equal texts are scored once, so copies do not multiply the exploded words; words are counted per text
-    before the join, and the final join back is one that adaptive execution may split by key skew.
+    Equal texts are scored once, so copies do not multiply the exploded words, and words are counted per text
+    before they meet the lexicon.  Frequent words, and texts with many copies, are spread in the joins.
     """
     keyed = df.withColumn("_key", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
     texts = keyed.groupBy("_key").agg(F.first(text_col).alias("_text"))
@@ -190,7 +191,7 @@ def lexicon_sentiment_joined(df: DataFrame, text_col: str, lexicon: DataFrame,
     )
     v, n = F.col("micros"), F.col("n")
     sums = (
-        counted.join(lexicon_micros(lexicon), "token", "left")
+        lookup_join(counted, lexicon_micros(lexicon), "token")
         .groupBy("_key").agg(
             F.sum(n).alias("n_words"),
             F.coalesce(F.sum(F.when(v > 0, (v + MICROS) * n)), F.lit(0)).alias("gain"),
@@ -199,7 +200,7 @@ def lexicon_sentiment_joined(df: DataFrame, text_col: str, lexicon: DataFrame,
             F.coalesce(F.sum(F.when(v != 0, n)), F.lit(0)).alias("hits"),
         )
     )
-    scored = keyed.join(sums, "_key", "left").withColumn("n_words", F.coalesce("n_words", F.lit(0))) \
+    scored = lookup_join(keyed, sums, "_key").withColumn("n_words", F.coalesce("n_words", F.lit(0))) \
         .withColumn("_sums", F.struct("gain", "loss", "net", "hits").cast(SUMS))
     scores = polarity(F.col("_sums"), F.col("n_words"))
     return scored.select(*df.columns, "n_words", *scores.values())

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidecast.functions.text import contains_any, keyword_tags
 from tidecast.functions.timestamps import iso_format
+from tidecast.operators.skew import lookup_join
 from tidecast.schemas import POST_ENVELOPE, USER
 
 # Names and defaults of the post contract.
@@ -47,11 +48,10 @@ def latest_users(users: DataFrame, order_col: str) -> DataFrame:
 def join_authors(posts: DataFrame, users: DataFrame, order_col: str) -> DataFrame:
     """Add ``user`` to each post, NULL for an unknown author.
 
-    Spark broadcasts the users where its statistics show them small.  Otherwise both sides shuffle on the
-    author, and adaptive execution splits the partition of a prolific one.
+    Users are reduced to one entry each first; a prolific author's posts are spread, see `lookup_join`.
     """
     authors = latest_users(users, order_col).withColumnRenamed("id", "author_id")
-    return posts.join(authors, "author_id", "left")
+    return lookup_join(posts, authors, "author_id")
 
 
 def default_user(user: Column) -> Column:

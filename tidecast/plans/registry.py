@@ -23,6 +23,7 @@ from tidecast.operators.ad_metrics import ad_metrics, regional_ad_metrics
 from tidecast.operators.aggregates import ads_by_type
 from tidecast.operators.facts import ad_performance_records, sentiment_records, store, viewership_records
 from tidecast.operators.latest import latest_ads, latest_sentiment, latest_viewership
+from tidecast.operators.skew import lookup_join
 from tidecast.plans import dashboard, feeds, history
 from tidecast.schemas import (
     AD_PERFORMANCE_TABLE, SCORED_POST, SENTIMENT_TABLE, STATE, VIEWERSHIP, VIEWERSHIP_TABLE,
@@ -86,7 +87,7 @@ def score(spark: SparkSession, sf_dir: str) -> jobs.Score:
     lexicon = inline_lexicon(feeds.lexicon(spark))
 
     def scored(posts: DataFrame) -> DataFrame:
-        rated = posts.join(feeds.oriented_scores(spark, sf_dir), "id", "left")
+        rated = lookup_join(posts, feeds.oriented_scores(spark, sf_dir), "id")
         return score_sentiment(rated, "text", lexicon, feeds.STOP_WORDS, F.col("h")).drop("h")
     return scored
 
@@ -412,7 +413,7 @@ def lexicon_sentiments_inline(spark, sf_dir):
 @query("classifier_score")
 def classifier_scores(spark, sf_dir):
     posts = parsed_posts(spark, sf_dir).select("id", clean_text(F.col("text")).alias("cleaned"))
-    rated = posts.join(feeds.oriented_scores(spark, sf_dir), "id", "left")
+    rated = lookup_join(posts, feeds.oriented_scores(spark, sf_dir), "id")
     return rated.select("id", F.length("cleaned").alias("n_chars"), "h")
 
 
