@@ -128,6 +128,24 @@ def test_jobs_end_to_end_and_restart(spark, tmp_path, feeds):
     assert state(spark, layout, "sentiment")["sentiment", "timestamp"] == "2024-01-01T01:35:00"
 
 
+def test_continuous_jobs_may_start_in_any_order(spark, tmp_path, feeds):
+    layout = jobs.Layout(str(tmp_path / "out"))
+    words = inline_lexicon(spark.createDataFrame([("good", 2.0)], "token string, valence double"))
+    topics = {t: message_stream(spark, "parquet", {}, str(tmp_path / "in" / t)) for t in ("posts", "viewership", "ads")}
+    running = jobs.start_all(spark, topics, lambda df: score_sentiment(df, "text", words), layout, "0 seconds")
+    try:
+        for query in reversed(running):
+            query.processAllAvailable()
+        for query in running:
+            query.processAllAvailable()
+    finally:
+        for query in running:
+            query.stop()
+    assert spark.read.parquet(layout.table("posts")).count() == 30
+    assert read_batches(spark, layout.table("sentiment_windows")).count() == 3
+    assert state(spark, layout, "sentiment")["sentiment", "timestamp"] == "2024-01-01T00:30:00"
+
+
 def test_stream_equals_batch(spark, tmp_path, feeds):
     path = str(tmp_path / "in" / "viewership")
     stream = flatten.regional_viewership(parse_viewership(message_stream(spark, "parquet", {}, path)))

@@ -31,13 +31,12 @@ POSITIVE_LABEL = "POSITIVE"
 # Up to this many entries the lexicon travels inside the plan; a larger one is joined instead.
 MAX_INLINE_ENTRIES = 50_000
 
-SUMS = "struct<gain: bigint, loss: bigint, net: bigint, hits: bigint>"
-
 
 def lexicon_micros(lexicon: DataFrame) -> DataFrame:
     """``(token, valence)`` to one ``(token, micros)`` row per token; the highest valence of a token wins."""
     micros = F.round(F.col("valence").cast("double") * MICROS).cast("bigint")
-    return lexicon.groupBy("token").agg(F.max(micros).alias("micros"))
+    known = lexicon.where(F.col("token").isNotNull() & F.col("valence").isNotNull())
+    return known.groupBy("token").agg(F.max(micros).alias("micros"))
 
 
 @dataclass(frozen=True)
@@ -190,20 +189,18 @@ def lexicon_sentiment_joined(df: DataFrame, text_col: str, lexicon: DataFrame,
         .groupBy("_key", "token").agg(F.count("*").alias("n"))
     )
     v, n = F.col("micros"), F.col("n")
-    sums = (
-        lookup_join(counted, lexicon_micros(lexicon), "token")
-        .groupBy("_key").agg(
-            F.sum(n).alias("n_words"),
-            F.coalesce(F.sum(F.when(v > 0, (v + MICROS) * n)), F.lit(0)).alias("gain"),
-            F.coalesce(F.sum(F.when(v < 0, (MICROS - v) * n)), F.lit(0)).alias("loss"),
-            F.coalesce(F.sum(v * n), F.lit(0)).alias("net"),
-            F.coalesce(F.sum(F.when(v != 0, n)), F.lit(0)).alias("hits"),
-        )
+    total = lambda value: F.coalesce(F.sum(value), F.lit(0))
+    sums = lookup_join(counted, lexicon_micros(lexicon), "token").groupBy("_key").agg(
+        F.sum(n).alias("n_words"),
+        F.struct(
+            total(F.when(v > 0, (v + MICROS) * n)).alias("gain"),
+            total(F.when(v < 0, (MICROS - v) * n)).alias("loss"),
+            total(v * n).alias("net"),
+            total(F.when(v != 0, n)).alias("hits"),
+        ).alias("_sums"),
     )
-    scored = lookup_join(keyed, sums, "_key").withColumn("n_words", F.coalesce("n_words", F.lit(0))) \
-        .withColumn("_sums", F.struct("gain", "loss", "net", "hits").cast(SUMS))
-    scores = polarity(F.col("_sums"), F.col("n_words"))
-    return scored.select(*df.columns, "n_words", *scores.values())
+    scored = lookup_join(keyed, sums, "_key").withColumn("n_words", F.coalesce("n_words", F.lit(0)))
+    return scored.select(*df.columns, "n_words", *polarity(F.col("_sums"), F.col("n_words")).values())
 
 
 def score_sentiment(df: DataFrame, text_col: str, lexicon: DataFrame | InlineLexicon,

@@ -6,9 +6,13 @@ per row, the way a topic's archive would hold them.  Sums are of whole numbers,
 
 from __future__ import annotations
 
+import threading
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidecast.functions.sentiment import classifier_score
+from tidecast.functions.text import strip_markup, tokens
 from tidecast.operators.ad_metrics import click_through_rate, cost_per_conversion
 from tidecast.operators.posts import finish_posts, join_authors
 from tidecast.schemas import POST
@@ -22,20 +26,22 @@ RESOLUTIONS = ["480p", "720p", "1080p", "1440p", "4K"]
 ENVELOPE_SIZE = 2
 
 _written: dict[tuple[str, str, str], str] = {}
+_writing = threading.RLock()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def derived(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+def derived(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
     """The folder of a derived data set; ``write(folder)`` runs the first time it is asked for."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _written:
-        folder = new_folder(spark, name)
-        write(folder)
-        _written[key] = folder
-    return _written[key]
+    with _writing:
+        if key not in _written:
+            folder = new_folder(spark, name)
+            write(folder)
+            _written[key] = folder
+        return _written[key]
 
 
 def message_feed(spark: SparkSession, sf_dir: str, name: str) -> str:
@@ -225,8 +231,7 @@ def lexicon(spark: SparkSession) -> DataFrame:
 
 def benchmark_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A larger word list: every word of the benchmark passages, with a valence from its length."""
-    from tidecast.functions.text import clean_text, tokens
-    words = table(spark, sf_dir, "benchmark").select(F.explode(tokens(clean_text(F.col("text")))).alias("token"))
+    words = table(spark, sf_dir, "benchmark").select(F.explode(tokens(strip_markup(F.col("text")))).alias("token"))
     valence = ((F.length("token") % 9) - 4) / F.lit(2.0)
     return words.distinct().select("token", valence.alias("valence"))
 

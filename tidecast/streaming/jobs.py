@@ -7,7 +7,7 @@ built-in file sink, whose log makes it exactly-once for readers.  The other two
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,7 +66,12 @@ def start_post_rejects(messages: DataFrame, layout: Layout, trigger: dict) -> St
 
 
 def scored_posts(spark: SparkSession, layout: Layout) -> DataFrame:
-    """The ``posts`` table as a stream."""
+    """The ``posts`` table as a stream; it may be asked for before the first post is there.
+
+    The marker makes the folder exist.  Its name hides it from readers, so the table's own log still decides
+    which files count.
+    """
+    spark.createDataFrame([], "marker int").write.mode("ignore").parquet(layout.table("posts") + "/_created")
     return spark.readStream.schema(SCORED_POST).parquet(layout.table("posts"))
 
 
@@ -144,25 +149,38 @@ def start_ads(messages: DataFrame, layout: Layout, trigger: dict) -> StreamingQu
     return _start(messages, layout, "ads", trigger, write)
 
 
-def finish(queries: Sequence[StreamingQuery]) -> None:
-    """Wait for queries that end by themselves; an error in one is raised here."""
-    for query in queries:
-        query.awaitTermination()
+def start_topics(topics: dict[str, DataFrame], score: Score, layout: Layout, trigger: dict) -> list[StreamingQuery]:
+    """The jobs that read topics: message streams under ``posts``, ``viewership`` and ``ads``."""
+    return [
+        start_posts(topics["posts"], score, layout, trigger),
+        start_post_rejects(topics["posts"], layout, trigger),
+        start_viewership(topics["viewership"], layout, trigger),
+        start_ads(topics["ads"], layout, trigger),
+    ]
+
+
+def start_windows(spark: SparkSession, layout: Layout, trigger: dict) -> list[StreamingQuery]:
+    """The jobs that read the scored posts."""
+    return [
+        start_sentiment_windows(scored_posts(spark, layout), layout, trigger),
+        start_latest_sentiment(scored_posts(spark, layout), layout, trigger),
+    ]
+
+
+def start_all(spark: SparkSession, topics: dict[str, DataFrame], score: Score, layout: Layout,
+              interval: str = "10 seconds") -> list[StreamingQuery]:
+    """Start every job; the caller waits on the queries, and restarts from the checkpoints after an error."""
+    trigger = {"processingTime": interval}
+    return start_windows(spark, layout, trigger) + start_topics(topics, score, layout, trigger)
 
 
 def run_available(spark: SparkSession, topics: dict[str, DataFrame], score: Score, layout: Layout) -> None:
-    """Process everything the topics hold now, then stop: a catch-up run with the jobs' own checkpoints.
+    """Process everything the topics hold now, then stop: a catch-up run with the same checkpoints.
 
-    ``topics`` holds message streams under ``posts``, ``viewership`` and ``ads``.
+    An error in a job is raised here.
     """
     now = {"availableNow": True}
-    finish([
-        start_posts(topics["posts"], score, layout, now),
-        start_post_rejects(topics["posts"], layout, now),
-        start_viewership(topics["viewership"], layout, now),
-        start_ads(topics["ads"], layout, now),
-    ])
-    finish([
-        start_sentiment_windows(scored_posts(spark, layout), layout, now),
-        start_latest_sentiment(scored_posts(spark, layout), layout, now),
-    ])
+    for query in start_topics(topics, score, layout, now):
+        query.awaitTermination()
+    for query in start_windows(spark, layout, now):
+        query.awaitTermination()

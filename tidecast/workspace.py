@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+_local_root: list[str] = []
+
+
 def workspace_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -15,12 +18,13 @@ def workspace_root(spark: SparkSession) -> str:
     a folder of one machine is invisible to the others and dies with it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="tidecast-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    if not (spark.conf.get("spark.master", None) or "").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+    if not _local_root:
+        _local_root.append(tempfile.mkdtemp(prefix="tidecast-"))
+    return _local_root[0]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
