@@ -73,6 +73,15 @@ def test_state_table_versions(spark, tmp_path):
     assert empty.read().count() == 0
 
 
+def test_state_table_reuses_its_folders(spark, tmp_path):
+    table = StateTable(spark, str(tmp_path / "state"), keep=3)
+    for batch in (0, 1, 2, 4, 5, 6):
+        table.commit(st.state_update(table.read(batch), rows(spark, ("s", str(batch), "1", 1, batch))), batch)
+    assert sorted(k for _, k in content(table.read())) == ["0", "1", "2", "4", "5", "6"]
+    assert table.version() == 6 and table.version(before=6) == 5
+    assert len(list((tmp_path / "state").glob("slot=*"))) == 3
+
+
 @pytest.fixture
 def collection(spark):
     rows = [("03", "x", ("en", 1)), ("01", "x", ("de", 2)), ("02", "y", ("en", 2)), ("04", None, None)]

@@ -12,9 +12,9 @@ def column(spark, values, make):
 
 
 def test_cleaning(spark):
-    texts = [None, "", "   ", "http://a.b/c", "www.x.org @me", "Hi @Zoë! #Été_2024 is  ON now\n", "a#b", "mail@x y",
+    texts = [None, "", "   ", "http://a.b/c", "www.x.org @me", "Hi @Zoë! #Été_2024 is  ON now\n", "a#b", "mail@x y", "#@ab#c @#d #@e@f #www.x @http://y",
              "A B　C", "see https://t.co/x?y=1, ok"]
-    expected = ["", "", "", "", "", "hi ! été_2024 is on now", "ab", "mail y", "a b c", "see ok"]
+    expected = ["", "", "", "", "", "hi ! été_2024 is on now", "ab", "mail y", "#c @d # # @","a b c", "see ok"]
     assert column(spark, texts, clean_text) == expected
 
 
@@ -24,7 +24,7 @@ def plain_python_clean(text):
     return re.sub(r"\s+", " ", text).strip()
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=15, deadline=None)
 @given(st.lists(st.text(alphabet="aZé@#_ \n\t  ́नाhtps:/.w1!İß", max_size=40), min_size=20, max_size=40))
 def test_cleaning_agrees_with_python_regexes(spark, texts):
     assert column(spark, texts, clean_text) == [plain_python_clean(t) for t in texts]

@@ -62,19 +62,21 @@ def fan_out(prepare: Callable[[DataFrame], DataFrame], writers: Sequence[BatchWr
 
 
 class StateTable:
-    """Latest state in numbered versions, one per batch.
+    """Latest state in numbered versions, one per batch, of which the last ``keep`` are kept.
 
-    A version counts once its number is in the log, which is written last, so readers never see half a
-    version, and a repeated batch starts from the same predecessor and replaces the same version.
-    State holds current values only, a few rows per path, so a full copy per version is cheap.
+    A version counts once its number is logged, which happens last, so readers never see half a version, and
+    a repeated batch starts from the same predecessor and replaces the same version.  Versions take turns
+    in ``keep`` folders, so the table does not grow with the number of batches; a reader has that many
+    batches' time.  State holds current values only, a few rows per path, so a full copy is cheap.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root, self.log = spark, root, f"{root}/committed"
-        spark.createDataFrame([], "version bigint").write.mode("ignore").parquet(self.log)
+    def __init__(self, spark: SparkSession, root: str, keep: int = 32):
+        self.spark, self.root, self.log, self.keep = spark, root, f"{root}/committed", keep
+        # A hidden marker makes the log's folder exist without counting as an entry.
+        spark.createDataFrame([], "marker int").write.mode("ignore").parquet(f"{self.log}/_created")
 
     def version(self, before: int | None = None) -> int | None:
-        log = self.spark.read.schema("version bigint").parquet(self.log)
+        log = self.spark.read.schema("version bigint").option("ignoreMissingFiles", "true").parquet(self.log)
         if before is not None:
             log = log.where(F.col("version") < before)
         return log.agg(F.max("version")).first()[0]
@@ -84,8 +86,10 @@ class StateTable:
         version = self.version(before)
         if version is None:
             return self.spark.createDataFrame([], STATE)
-        return self.spark.read.schema(STATE).parquet(f"{self.root}/version={version}")
+        return self.spark.read.schema(STATE).parquet(f"{self.root}/slot={version % self.keep}")
 
     def commit(self, state: DataFrame, version: int) -> None:
-        state.write.mode("overwrite").parquet(f"{self.root}/version={version}")
-        self.spark.range(version, version + 1, 1, 1).toDF("version").write.mode("append").parquet(self.log)
+        slot = f"slot={version % self.keep}"
+        state.write.mode("overwrite").parquet(f"{self.root}/{slot}")
+        logged = self.spark.range(version, version + 1, 1, 1).toDF("version")
+        logged.write.mode("overwrite").parquet(f"{self.log}/{slot}")
