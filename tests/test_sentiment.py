@@ -42,7 +42,7 @@ def test_lexicon_scores_match_brute_force(spark, lexicon, joined):
     if joined:
         scored = lexicon_sentiment_joined(df, "t", lexicon, ["the"])
     else:
-        scored = lexicon_sentiment(df, "t", inline_lexicon(lexicon), ["the"])
+        scored = lexicon_sentiment(df, "t", inline_lexicon(lexicon, ["the"]))
     rows = scored.orderBy("i").collect()
     for row, words in zip(rows, KEPT):
         assert row.n_words == len(words)
@@ -62,9 +62,18 @@ def test_joined_scores_keep_every_copy_of_a_text(spark, lexicon):
 def test_lexicon_beyond_the_bound_is_joined(spark, lexicon):
     assert inline_lexicon(lexicon, max_entries=4) is None
     assert inline_lexicon(lexicon, max_entries=5) is not None
+    assert inline_lexicon(lexicon.limit(0), ["a"]) is not None
     assert inline_lexicon(lexicon.limit(0)) is not None
 
 
+def test_a_stop_word_in_the_lexicon_does_not_count(spark, lexicon):
+    df = spark.createDataFrame([("good bad",)], "t string")
+    row = lexicon_sentiment(df, "t", inline_lexicon(lexicon, ["good"])).first()
+    assert (row.n_words, row.pos, row.neg) == (1, 0.0, 1.0)
+    row = lexicon_sentiment(df, "t", inline_lexicon(lexicon, ["good", "bad"])).first()
+    assert (row.n_words, row.pos, row.neu, row.neg, row.compound) == (0, 0.0, 0.0, 0.0, 0.0)
+
+
 def test_repeated_token_takes_its_highest_valence(spark):
     twice = spark.createDataFrame([("ok", 1.0), ("ok", 2.0)], "token string, valence double")
     df = spark.createDataFrame([("ok",)], "t string")

@@ -30,6 +30,8 @@ POSITIVE_LABEL = "POSITIVE"
 
 # Up to this many entries the lexicon travels inside the plan; a larger one is joined instead.
 MAX_INLINE_ENTRIES = 50_000
+# Stands for a stop word; no valence comes near it.
+STOP = -(2 ** 62)
 
 
 def lexicon_micros(lexicon: DataFrame) -> DataFrame:
@@ -41,9 +43,10 @@ def lexicon_micros(lexicon: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class InlineLexicon:
-    """A lexicon small enough for the plan: an array of small maps, indexed by a hash of the token.
+    """A lexicon and stop list small enough for the plan: an array of small maps, indexed by a hash of the token.
 
-    Looking a token up in one big map column scans the whole map; here it scans one bucket.
+    Looking a token up in one big map column scans the whole map; here it scans one bucket.  A stop word has
+    the marker `STOP` for its valence.
     """
 
     buckets_json: str
@@ -55,33 +58,40 @@ class InlineLexicon:
         return F.element_at(F.get(table, bucket), token)
 
 
-def inline_lexicon(lexicon: DataFrame, max_entries: int = MAX_INLINE_ENTRIES) -> InlineLexicon | None:
-    """Read the lexicon into a plan literal, or return None when it has more than ``max_entries``."""
-    entries = lexicon_micros(lexicon).select("token", "micros", F.xxhash64("token").alias("hash"))
-    rows = entries.limit(max_entries + 1).collect()
-    if len(rows) > max_entries:
+def inline_lexicon(lexicon: DataFrame, stop_words: Sequence[str] = (),
+                   max_entries: int = MAX_INLINE_ENTRIES) -> InlineLexicon | None:
+    """Read the lexicon into a plan literal, or return None when it has more than ``max_entries``.
+
+    A word in both lists is a stop word.
+    """
+    entries = lexicon_micros(lexicon).limit(max_entries + 1).collect()
+    if len(entries) > max_entries:
         return None
-    buckets: list[dict[str, int]] = [{} for _ in range(max(1, len(rows)))]
-    for row in rows:
+    words = {row.token: row.micros for row in entries} | {word: STOP for word in stop_words}
+    # Spark computes the buckets, so that they agree with the lookup.
+    listed = lexicon.sparkSession.createDataFrame(list(words.items()), "token string, micros bigint")
+    buckets: list[dict[str, int]] = [{} for _ in range(max(1, len(words)))]
+    for row in listed.select("token", "micros", F.xxhash64("token").alias("hash")).collect():
         buckets[row.hash % len(buckets)][row.token] = row.micros
     return InlineLexicon(json.dumps(buckets, ensure_ascii=False), len(buckets))
 
 
 def valence_sums(words: Column, lexicon: InlineLexicon) -> Column:
-    """One pass over the words of a row: positive, negative and net valence, and number of non-zero hits."""
+    """One pass over the words of a row: positive, negative and net valence, words with a valence, stop words."""
     known = F.filter(F.transform(words, lexicon.micros), lambda v: v.isNotNull() & (v != 0))
-    start = F.lit(0).cast("bigint")
-    zero = F.struct(start.alias("gain"), start.alias("loss"), start.alias("net"), start.alias("hits"))
-    return F.aggregate(
-        known,
-        zero,
-        lambda acc, v: F.struct(
+    zero = F.lit(0).cast("bigint")
+    start = F.struct(*[zero.alias(name) for name in ("gain", "loss", "net", "hits", "stops")])
+
+    def add(acc: Column, v: Column) -> Column:
+        stop = v == STOP
+        return F.struct(
             (acc["gain"] + F.when(v > 0, v + MICROS).otherwise(0)).alias("gain"),
-            (acc["loss"] + F.when(v < 0, MICROS - v).otherwise(0)).alias("loss"),
-            (acc["net"] + v).alias("net"),
-            (acc["hits"] + 1).alias("hits"),
-        ),
-    )
+            (acc["loss"] + F.when((v < 0) & ~stop, MICROS - v).otherwise(0)).alias("loss"),
+            (acc["net"] + F.when(stop, 0).otherwise(v)).alias("net"),
+            (acc["hits"] + F.when(stop, 0).otherwise(1)).alias("hits"),
+            (acc["stops"] + F.when(stop, 1).otherwise(0)).alias("stops"),
+        )
+    return F.aggregate(known, start, add)
 
 
 def polarity(sums: Column, n_words: Column) -> dict[str, Column]:
@@ -166,13 +176,12 @@ def classifier_column(text: Column, make_classifier: Callable[[], Classifier], m
     return F.when(~F.isnan(answer), answer)
 
 
-def lexicon_sentiment(df: DataFrame, text_col: str, lexicon: InlineLexicon,
-                      stop_words: Sequence[str] = ()) -> DataFrame:
-    """Add pos, neu, neg, compound and n_words for each row, without a shuffle; batch or streaming."""
-    words = df.withColumn("_words", tokens(strip_markup(F.col(text_col)), stop_words))
-    sums = words.withColumn("n_words", F.size("_words").cast("bigint")) \
-        .withColumn("_sums", valence_sums(F.col("_words"), lexicon))
-    return sums.select("*", *polarity(F.col("_sums"), F.col("n_words")).values()).drop("_words", "_sums")
+def lexicon_sentiment(df: DataFrame, text_col: str, lexicon: InlineLexicon) -> DataFrame:
+    """Add n_words, pos, neu, neg and compound to each row, without a shuffle; batch or streaming."""
+    words = df.withColumn("_words", tokens(strip_markup(F.col(text_col))))
+    sums = words.select(*df.columns, F.size("_words").alias("_n"), valence_sums(F.col("_words"), lexicon).alias("_sums"))
+    counted = sums.select(*df.columns, (F.col("_n") - F.col("_sums.stops")).alias("n_words"), "_sums")
+    return counted.select(*df.columns, "n_words", *polarity(F.col("_sums"), F.col("n_words")).values())
 
 
 def lexicon_sentiment_joined(df: DataFrame, text_col: str, lexicon: DataFrame,
@@ -209,16 +218,17 @@ def score_sentiment(df: DataFrame, text_col: str, lexicon: DataFrame | InlineLex
     """Add the sentiment struct to every row.
 
     ``classifier`` is a column with the classifier's score (see `classifier_column`), or None.  A lexicon
-    frame that fits the plan is inlined; a larger one is joined, which a stream cannot do.
+    frame that fits the plan is inlined with the stop words; a larger one is joined, which a stream cannot do.
+    An `InlineLexicon` brings its own stop words.
     """
-    inline = inline_lexicon(lexicon) if isinstance(lexicon, DataFrame) else lexicon
     scratch = ("pos", "neu", "neg", "compound", "n_words")
     if clash := set(df.columns) & set(scratch):
         raise ValueError(f"rename the columns {sorted(clash)} first")
     if classifier is not None:
         df = df.withColumn("_classifier", classifier)
+    inline = lexicon if isinstance(lexicon, InlineLexicon) else inline_lexicon(lexicon, stop_words)
     if inline is not None:
-        scored = lexicon_sentiment(df, text_col, inline, stop_words)
+        scored = lexicon_sentiment(df, text_col, inline)
     elif df.isStreaming:
         raise ValueError("the lexicon is too large for a stream: score the batches inside foreachBatch")
     else:

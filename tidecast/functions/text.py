@@ -16,21 +16,20 @@ SPACE = r"\x1C-\x1F\p{IsWhite_Space}"
 WORD = r"\p{L}\p{N}_"
 
 URL_PATTERN = rf"https?://[^{SPACE}]+|www\.[^{SPACE}]+"
-# A mention, or a hashtag with its text as the group: replaced by the group, a mention leaves nothing.
-MENTION_OR_HASHTAG_PATTERN = rf"@[{WORD}]+|#([{WORD}]+)"
+# Two patterns that each start with a plain character are faster than one with a choice.
+MENTION_PATTERN = rf"@[{WORD}]+"
+HASHTAG_PATTERN = rf"#([{WORD}]+)"
 SPACES_PATTERN = rf"[{SPACE}]+"
 # A token keeps combining marks, so that decomposed letters and vowel signs do not split a word.
 TOKEN_PATTERN = rf"([{WORD}\p{{M}}]+)"
 
 
 def strip_markup(text: Column) -> Column:
-    """Lower-case, drop URLs and mentions, unwrap hashtags; NULL becomes ``''``.
-
-    URLs go first, in a pass of their own: what they leave behind may end a mention or a hashtag.
-    """
+    """Lower-case, drop URLs and mentions, unwrap hashtags; NULL becomes ``''``."""
     out = F.lower(F.coalesce(text, F.lit("")))
     out = F.regexp_replace(out, URL_PATTERN, "")
-    return F.regexp_replace(out, MENTION_OR_HASHTAG_PATTERN, "$1")
+    out = F.regexp_replace(out, MENTION_PATTERN, "")
+    return F.regexp_replace(out, HASHTAG_PATTERN, "$1")
 
 
 def clean_text(text: Column) -> Column:

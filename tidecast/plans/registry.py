@@ -84,11 +84,11 @@ def parsed_ads(spark, sf_dir):
 
 def score(spark: SparkSession, sf_dir: str) -> jobs.Score:
     """Lexicon scores blended with the classifier scores of the labelled documents."""
-    lexicon = inline_lexicon(feeds.lexicon(spark))
+    lexicon = inline_lexicon(feeds.lexicon(spark), feeds.STOP_WORDS)
 
     def scored(posts: DataFrame) -> DataFrame:
         rated = lookup_join(posts, feeds.oriented_scores(spark, sf_dir), "id")
-        return score_sentiment(rated, "text", lexicon, feeds.STOP_WORDS, F.col("h")).drop("h")
+        return score_sentiment(rated, "text", lexicon, classifier=F.col("h")).drop("h")
     return scored
 
 
@@ -390,7 +390,8 @@ def sentiment_empty_guard(spark, sf_dir):
 
 @query("lexicon_sentiment")
 def lexicon_sentiments(spark, sf_dir):
-    scored = lexicon_sentiment(parsed_posts(spark, sf_dir), "text", inline_lexicon(feeds.lexicon(spark)), feeds.STOP_WORDS)
+    lexicon = inline_lexicon(feeds.lexicon(spark), feeds.STOP_WORDS)
+    scored = lexicon_sentiment(parsed_posts(spark, sf_dir), "text", lexicon)
     return scored.select("id", "n_words", "pos", "neu", "neg", "compound")
 
 
@@ -405,8 +406,8 @@ def lexicon_sentiments_joined(spark, sf_dir):
 @query("lexicon_sentiment_inline")
 def lexicon_sentiments_inline(spark, sf_dir):
     """The inline form with the same lexicon: the same scores without a shuffle."""
-    lexicon = inline_lexicon(feeds.benchmark_lexicon(spark, sf_dir))
-    scored = lexicon_sentiment(parsed_posts(spark, sf_dir), "text", lexicon, feeds.STOP_WORDS)
+    lexicon = inline_lexicon(feeds.benchmark_lexicon(spark, sf_dir), feeds.STOP_WORDS)
+    scored = lexicon_sentiment(parsed_posts(spark, sf_dir), "text", lexicon)
     return scored.select("id", "n_words", "pos", "neu", "neg", "compound")
 
 
