@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidecast.functions.sentiment import inline_lexicon, score_sentiment
 from tidecast.operators import flatten
+from tidecast.operators.posts import normalize_posts
 from tidecast.sources.messages import message_batch, message_stream, parse_posts, parse_viewership
 from tidecast.streaming import jobs
 from tidecast.streaming.sinks import StateTable, batch_writer, fan_out, read_batches, write_batch
@@ -146,6 +147,24 @@ def test_continuous_jobs_may_start_in_any_order(spark, tmp_path, feeds):
     assert state(spark, layout, "sentiment")["sentiment", "timestamp"] == "2024-01-01T00:30:00"
 
 
+def test_batch_without_ads_keeps_the_state(spark, tmp_path, feeds):
+    run_jobs(spark, tmp_path)
+    feeds("ads", "broken again")
+    layout = run_jobs(spark, tmp_path)
+    assert StateTable(spark, layout.state("ads")).version() == 1
+    assert state(spark, layout, "ads")["ads/ads", "x"]["impressions"] == 12
+
+
+def test_normaliser_runs_on_a_stream(spark, tmp_path):
+    envelope = {"data": [{"id": "1", "text": "Cup", "author_id": "u"}], "includes": {"users": [{"id": "u", "name": "N"}]}}
+    spark.createDataFrame([(json.dumps(envelope),)] * 3, "value string").write.parquet(str(tmp_path / "in"))
+    stream = normalize_posts(message_stream(spark, "parquet", {}, str(tmp_path / "in")), ["cup"])
+    stream.writeStream.trigger(**NOW).foreachBatch(batch_writer(str(tmp_path / "t"))) \
+        .option("checkpointLocation", str(tmp_path / "c")).start().awaitTermination()
+    rows = read_batches(spark, str(tmp_path / "t")).collect()
+    assert [(r.user.name, r.keywords) for r in rows] == [("N", ["cup"])] * 3
+
+
 def test_stream_equals_batch(spark, tmp_path, feeds):
     path = str(tmp_path / "in" / "viewership")
     stream = flatten.regional_viewership(parse_viewership(message_stream(spark, "parquet", {}, path)))

@@ -127,13 +127,13 @@ def start_ads(messages: DataFrame, layout: Layout, trigger: dict) -> StreamingQu
     def write_state(decoded: DataFrame, batch_id: int) -> None:
         totals = latest_ads(ads_flat(parsed(decoded))).persist()
         try:
-            if totals.isEmpty():
-                return
             table = StateTable(decoded.sparkSession, layout.state("ads"))
-            listed = keyed_children(totals, "ads/ads", "type", AD_FIELDS, batch_id=batch_id)
-            stamp = children(totals.select("updated_at", "timestamp").distinct(), "ads", ["timestamp"],
-                             batch_id=batch_id)
-            state = state_update(state_set(table.read(batch_id), "ads/ads", listed), stamp)
+            state = table.read(batch_id)
+            if not totals.isEmpty():
+                listed = keyed_children(totals, "ads/ads", "type", AD_FIELDS, batch_id=batch_id)
+                stamp = children(totals.select("updated_at", "timestamp").distinct(), "ads", ["timestamp"],
+                                 batch_id=batch_id)
+                state = state_update(state_set(state, "ads/ads", listed), stamp)
             table.commit(state, batch_id)
         finally:
             totals.unpersist()

@@ -67,7 +67,8 @@ class StateTable:
     A version counts once its number is logged, which happens last, so readers never see half a version, and
     a repeated batch starts from the same predecessor and replaces the same version.  Versions take turns
     in ``keep`` folders, so the table does not grow with the number of batches; a reader has that many
-    batches' time.  State holds current values only, a few rows per path, so a full copy is cheap.
+    batches' time.  Commit every batch, changed or not, so that a version never meets its own predecessor's
+    folder.  State holds current values only, a few rows per path, so a full copy is cheap.
     """
 
     def __init__(self, spark: SparkSession, root: str, keep: int = 32):
