@@ -64,15 +64,18 @@ def inline_lexicon(lexicon: DataFrame, stop_words: Sequence[str] = (),
 
     A word in both lists is a stop word.
     """
-    entries = lexicon_micros(lexicon).limit(max_entries + 1).collect()
-    if len(entries) > max_entries:
+    listed = lexicon_micros(lexicon).limit(max_entries + 1)
+    if stop_words:
+        stops = lexicon.sparkSession.range(1).select(F.explode(F.lit(list(stop_words))).alias("token"))
+        listed = listed.unionByName(stops.select("token", F.lit(STOP).alias("micros")))
+    # Spark computes the hashes, so that they agree with the lookup.
+    rows = listed.select("token", "micros", F.xxhash64("token").alias("hash")).collect()
+    if sum(row.micros != STOP for row in rows) > max_entries:
         return None
-    words = {row.token: row.micros for row in entries} | {word: STOP for word in stop_words}
-    # Spark computes the buckets, so that they agree with the lookup.
-    listed = lexicon.sparkSession.createDataFrame(list(words.items()), "token string, micros bigint")
-    buckets: list[dict[str, int]] = [{} for _ in range(max(1, len(words)))]
-    for row in listed.select("token", "micros", F.xxhash64("token").alias("hash")).collect():
-        buckets[row.hash % len(buckets)][row.token] = row.micros
+    buckets: list[dict[str, int]] = [{} for _ in range(max(1, len(rows)))]
+    for row in rows:
+        bucket = buckets[row.hash % len(buckets)]
+        bucket[row.token] = min(row.micros, bucket.get(row.token, row.micros))
     return InlineLexicon(json.dumps(buckets, ensure_ascii=False), len(buckets))
 
 
