@@ -3,8 +3,10 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from checks.compare import TABLES, rows_of
+from checks.oracle import ORACLE
+from tidecast.plans.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -18,13 +20,13 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLE) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_its_sql(spark, duck, name):
-    df = queries()[name](spark, SF_DIR)
-    cursor = duck.execute(oracle_sql()[name])
+    df = QUERIES[name](spark, SF_DIR)
+    cursor = duck.execute(ORACLE[name])
     names = [d[0] for d in cursor.description]
     assert sorted(names) == sorted(df.columns)
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(names, cursor.fetchall())
@@ -35,7 +37,7 @@ def test_entry(spark):
 
 
 def plan(spark, name):
-    return queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    return QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
 
 
 NARROW = ["parse_tweets", "parse_viewership", "parse_ads", "tweets_normalize", "tweets_keyword_filter", "tweets_keyword_tags",
@@ -48,7 +50,7 @@ def test_narrow_queries_do_not_shuffle(spark, name):
     assert "Exchange hash" not in plan(spark, name) and "Exchange Round" not in plan(spark, name)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_joins_and_no_row_python(spark, name):
     text = plan(spark, name)
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text and "BatchEvalPython" not in text
