@@ -81,9 +81,12 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", order: str
     """The model, from rows with a text and a language; ``order`` chooses the sample, it is no feature."""
     rows = labelled.select(F.col(order).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = rows.groupBy("lang").agg(F.greatest(F.lit(1), F.floor(F.count("*") / per_language)).alias("step"))
-    sample = (rows.join(counts, "lang").where(F.pmod(F.xxhash64("id", "text"), "step") == 0)
-              .select("lang", "text"))
+    # One number a language: the driver holds the whole model of each anyway.
+    counts = {r.lang: max(1, r.n // per_language) for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not counts:
+        return None
+    steps = F.create_map(*[F.lit(v) for pair in counts.items() for v in pair])
+    sample = rows.where(F.pmod(F.xxhash64("id", "text"), steps[F.col("lang")]) == 0).select("lang", "text")
     taken = with_columns(sample, "vector binary", lambda c: [pa.array([v.tobytes() for v in features(c[0])], pa.binary())],
                          ["text"]).select("lang", "vector").collect()
     if not taken:
