@@ -14,7 +14,7 @@ input's columns only the key is kept, under the name ``doc_id``.
 
 from __future__ import annotations
 
-import re
+import os
 from collections import deque
 from collections.abc import Iterator
 
@@ -30,48 +30,83 @@ SENTENCE_CUT, FORCED_CUT = 16.0, 256.0
 #: Sentence ends are considered once in so many tokens, forced cuts every so many.
 GRAIN, STRIDE = 32, 512
 #: Tokens packed in one run of the program, and words whose ids a task remembers.
-RUN, REMEMBERED = 1 << 20, 400_000
+RUN, REMEMBERED = 1 << 20, 800_000
+#: A special token that splits any text, and the texts tokenised at once.
+BETWEEN, TOGETHER = "<|endoftext|>", 256
 PIECES = ("doc_id {id_type}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
-#: A single sentence mark after a small letter and before white space is a pre-token of its own.
-MARK = re.compile(r"(?<=[a-z])([.,])(?=[ \n]|$)")
 
 
 class WordIds:
-    """Ids of a text, word by word: pre-tokens of this vocabulary never reach across white space, so words are looked up once."""
+    """Ids of texts, word by word: pre-tokens of this vocabulary never reach across white space, so words are looked up once.
 
-    def __init__(self, path: str) -> None:
+    New words are encoded together, with a special token between them.
+    """
+
+    def __init__(self, path: str, between: str = BETWEEN) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are the threads
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.between = Tokenizer.from_file(path), between
+        self.split_id = self.tokenizer.token_to_id(between)
         self.known: dict[str, bytes] = {}
-        self.marks = np.unique(np.concatenate([np.frombuffer(self.encode([m])[0], "<u4") for m in ".!?"]))
-
-    def encode(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    def __call__(self, text: str) -> np.ndarray:
-        words = MARK.sub(r" \1", text).replace("\n", " ").split(" ")
-        new = list({w for w in words if w not in self.known})
-        if new:
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known.clear()
-                new = list(set(words))
-            self.known.update(zip(new, self.encode(new)))
-        return np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<u4")
-
-
-def cut_points(ids: np.ndarray, marks: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray]:
-    """Where a sequence may end within a document's ids (its end included), and the penalty of each."""
-    n = len(ids)
-    ends = np.flatnonzero(np.isin(ids, marks)) + 1
-    ends = ends[ends < n]
-    ends = ends[np.flatnonzero(np.diff(ends // GRAIN, append=-1))]
-    fixed = np.concatenate([[0], ends, [n]])
-    wide = np.flatnonzero(np.diff(fixed) > stride)
-    forced = [np.arange(fixed[i] + stride, fixed[i + 1], stride) for i in wide]
-    at = np.concatenate([fixed[1:], *forced])
-    cost = np.concatenate([np.full(len(fixed) - 1, SENTENCE_CUT), np.full(len(at) - len(fixed) + 1, FORCED_CUT)])
-    cost[len(fixed) - 2] = 0.0
+        self.before: dict[str, bytes] = {}
+        self.closing = {m: self.encode(m).tobytes() for m in ".,"}
+        self.is_mark = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        self.is_mark[np.concatenate([self.encode(m) for m in ".!?"])] = True
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def learn(self, words: set[str]) -> None:
+        """Look words up among those met before; encode what remains, without a closing mark and in small letters."""
+        stems = {w: stem_of(w) for w in words.difference(self.before)}
+        new = set(stems.values()).difference(self.known, self.before)
+        plain = [w for w in new if "<|" not in w]
+        found = {w: self.encode(w).tobytes() for w in new.difference(plain)}
+        if plain:
+            ids = self.encode(self.between.join(plain))
+            ends = np.append(np.flatnonzero(ids == self.split_id), len(ids))
+            data, begin = ids.tobytes(), 0
+            for word, end in zip(plain, (ends * 4).tolist()):
+                found[word] = data[begin:end]
+                begin = end + 4
+        self.known.update(found)
+        for word in words:
+            if (ids := self.before.get(word)) is None:
+                stem = stems[word]
+                ids = self.known[stem] if stem in self.known else self.before[stem]
+                if len(word) > len(stem):
+                    ids += self.closing[word[-1]]
+            self.known[word] = ids
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        split = [text.replace("\n", " ").split(" ") for text in texts]
+        words = set().union(*split)
+        if len(self.known) > REMEMBERED:
+            self.before, self.known = self.known, {}
+        self.learn(words.difference(self.known))
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, own)), "<u4") for own in split]
+
+
+def stem_of(word: str) -> str:
+    """The part of a word that has to be encoded: without one closing mark after a letter, as that is a pre-token of its own."""
+    if word[-1:] in ".," and word[-2:-1].isalpha():
+        word = word[:-1]
+    return word.lower() if word.isascii() else word
+
+
+def cut_points(lengths: np.ndarray, ids: np.ndarray, is_mark: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray]:
+    """Where a sequence may end within documents laid end to end, from 0 to the end of all, and the penalty of each place."""
+    ends = np.cumsum(lengths)
+    sentences = np.flatnonzero(is_mark[ids]) + 1
+    sentences = sentences[np.flatnonzero(np.diff(sentences // GRAIN, append=-1))]
+    inner = np.setdiff1d(sentences, ends, assume_unique=True)
+    fixed = np.sort(np.concatenate([[0], inner, ends]))
+    gaps = np.diff(fixed)
+    steps = np.maximum(0, -(-gaps // stride) - 1)
+    forced = np.repeat(fixed[:-1], steps) + stride * (1 + np.arange(steps.sum()) - np.repeat(np.cumsum(steps) - steps, steps))
+    at = np.concatenate([[0], ends, inner, forced])
+    cost = np.repeat([0.0, SENTENCE_CUT, FORCED_CUT], [1 + len(ends), len(inner), len(forced)])
     order = np.argsort(at, kind="stable")
     return at[order], cost[order]
 
@@ -119,7 +154,7 @@ def pack(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str =
     """
     def work(batches):
         encode, task = WordIds(tokenizer_path), TaskContext.get().partitionId() << 32
-        made = 0
+        made, end = 0, np.array([END_ID], "<u4")
         waiting: list[tuple] = []  # key, ids not yet packed, start of these in the document, length of the document
 
         def rows(windows: list[tuple[int, int]], upto: int):
@@ -142,13 +177,9 @@ def pack(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str =
             return out
 
         def settle(final: bool):
-            at, cost, place = [0], [0.0], 0
-            for _, ids, _, _ in waiting:
-                ends, price = cut_points(ids, encode.marks, min(STRIDE, size))
-                at += (ends + place).tolist()
-                cost += price.tolist()
-                place += len(ids)
-            chosen = [0] + [at[i] for i in best_cuts(at, cost, size)]
+            at, cost = cut_points(np.array([len(w[1]) for w in waiting]), np.concatenate([w[1] for w in waiting]), encode.is_mark, min(STRIDE, size))
+            at = at.tolist()
+            chosen = [0] + [at[i] for i in best_cuts(at, cost.tolist(), size)]
             windows = list(zip(chosen, chosen[1:]))
             if final and windows:
                 windows[-1:] = split_powers(*windows[-1])
@@ -165,15 +196,16 @@ def pack(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str =
         held = 0
         for batch in batches:
             id_arrow = batch.schema.field(0).type
-            for name, text_value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words = text_value.as_py() or ""
-                ids = np.append(encode(words) if words else np.zeros(0, "<u4"), np.array([END_ID], "<u4")).astype("<u4")
-                waiting.append((name, ids, 0, len(ids)))
-                held += len(ids)
-                if held >= run:
-                    if out := settle(False):
-                        yield batch_of(out)
-                    held = sum(len(w[1]) for w in waiting)
+            for group in range(0, len(batch), TOGETHER):
+                part = batch.slice(group, TOGETHER)
+                encoded = encode([t or "" for t in part.column(1).to_pylist()])
+                for name, ids in zip(part.column(0).to_pylist(), encoded):
+                    waiting.append((name, np.append(ids, end).astype("<u4"), 0, len(ids) + 1))
+                    held += len(ids) + 1
+                    if held >= run:
+                        if out := settle(False):
+                            yield batch_of(out)
+                        held = sum(len(w[1]) for w in waiting)
         if waiting and (out := settle(True)):
             yield batch_of(out)
 
