@@ -68,18 +68,23 @@ def curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return a / scale, b
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "label", order: str = "doc_id", sample: int = SAMPLE) -> dict | None:
-    """The model, from rows with label 1 (good) or 0 (bad); ``order`` chooses the sample, it is no feature."""
-    rows = labelled.where(F.col(label).isin(0, 1) & (F.length(F.coalesce(text, F.lit(""))) > 0))
-    counts = {r.label: r.n for r in rows.groupBy(F.col(label).cast("int").alias("label")).agg(F.count("*").alias("n")).collect()}
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "label",
+        sample: int = SAMPLE) -> dict | None:
+    """The model, from the texts of rows labelled 1 (good) or 0 (bad); ``key`` joins the two and chooses the sample, it is no feature.
+
+    The sample is chosen among the labels, before any text is read, and has at most ``4 * sample`` rows.
+    """
+    rows = labels.where(F.col(label).isin(0, 1)).select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"))
+    counts = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if set(counts) != {0, 1}:
         return None
-    # Rows 0 of 2 of the sample build dictionaries, rows 1 of 2 fit the curve.
-    pick = F.xxhash64(F.col(order), F.lit("quality"))
-    step = F.when(F.col(label) == 1, max(1, counts[1] // (2 * sample))).otherwise(max(1, counts[0] // (2 * sample)))
-    taken = (rows.where(F.pmod(pick, step) == 0)
-             .select(F.col(label).cast("int").alias("label"), F.pmod(F.xxhash64(pick), F.lit(2)).alias("half"), F.col(text).alias("text"),
-                     F.col(order).alias("order")))
+    # Rows with an even hash build dictionaries, the others fit the curve.
+    pick = F.xxhash64(F.col("key"), F.lit("quality"))
+    step = F.when(F.col("label") == 1, max(1, counts[1] // (2 * sample))).otherwise(max(1, counts[0] // (2 * sample)))
+    chosen = rows.where(F.pmod(pick, step) == 0).withColumn("half", F.pmod(F.xxhash64(pick), F.lit(2)))
+    chosen = F.broadcast(chosen.orderBy(F.xxhash64("key")).limit(4 * sample))  # bounded by the parameter
+    taken = (docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.length("text") > 0).join(chosen, "key")
+             .select("label", "half", "text", F.col("key").alias("order")))
     built = taken.where("half = 0").select("label", "order", F.expr(f"substring(cast(text as binary), 1, {SAMPLE_BYTES})").alias("bytes")).collect()
     built.sort(key=lambda r: (r.order is None, r.order, bytes(r.bytes)))
     good, bad = (dictionary([bytes(r.bytes) for r in built if r.label == k]) for k in (1, 0))

@@ -41,9 +41,8 @@ def op7_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_model(spark: SparkSession, sf_dir: str) -> dict | None:
     """Learned from labelled documents outside the held-out fold."""
-    labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text").where(fold_column("doc_id") != HELD_OUT_FOLD)
-    return quality.fit(docs.join(labels, "doc_id"))
+    labels = read_table(spark, sf_dir, "labels").where(fold_column("doc_id") != HELD_OUT_FOLD)
+    return quality.fit(read_table(spark, sf_dir, "documents"), labels, label="quality")
 
 
 @query
