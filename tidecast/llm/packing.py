@@ -30,7 +30,7 @@ SENTENCE_CUT, FORCED_CUT = 16.0, 256.0
 #: Sentence ends are considered once in so many tokens, forced cuts every so many.
 GRAIN, STRIDE = 32, 512
 #: Tokens packed in one run of the program, and words whose ids a task remembers.
-RUN, REMEMBERED = 1 << 20, 800_000
+RUN, REMEMBERED = 1 << 20, 1_500_000
 #: A special token that splits any text, and the texts tokenised at once.
 BETWEEN, TOGETHER = "<|endoftext|>", 256
 PIECES = ("doc_id {id_type}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidecast.llm import fingerprint, language_id, mixing, packing, quality, token_counts
+from tidecast.llm import fingerprint, language_id, mixing, ngram_join, packing, quality, token_counts
 from tidecast.llm.common import fold_column, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,11 @@ def op5_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_groups(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
