@@ -7,13 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidecast.llm import fingerprint, language_id, mixing, ngram_join, packing, quality, token_counts
+from tidecast.llm import chat, fingerprint, language_id, mixing, neighbours, ngram_join, packing, quality, token_counts
 from tidecast.llm.common import fold_column, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
-WORD_VOCABULARY, PIECE_VOCABULARY = "word_bpe_49k.json", "piece_bpe_32k.model"
+WORD_VOCABULARY, PIECE_VOCABULARY, BYTE_VOCABULARY = "word_bpe_49k.json", "piece_bpe_32k.model", "byte_bpe_50k.tiktoken"
+#: A conversation whose texts hold the usual marks of chat templates.
+PROBE = [(-7, 0, "user", r"\### Assistant: </turn> ok"), (-7, 1, "assistant", r"\### Assistant: </turn> ok")]
 HELD_OUT_FOLD = 1
 
 
@@ -28,6 +30,23 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("key").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "copies")
 
 
+@query
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read_table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0)
+
+
+@query
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = turns.unionByName(spark.createDataFrame(PROBE, "conv_id long, turn int, role string, text string"))
+    path = public_tokenizers.path(BYTE_VOCABULARY)
+    rows = chat.read_back(chat.format_chats(turns, path), path)
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    learned = F.array_join("learned", "")
+    return rows.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+                       F.length(learned).cast("long").alias("loss_chars"), F.sha2(learned, 256).alias("loss_sha256"), "formatted_chars")
+
+
 @query
 def op5_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(read_table(spark, sf_dir, "documents"))
