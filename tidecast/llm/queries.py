@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidecast.llm import chat, fingerprint, language_id, mixing, neighbours, ngram_join, packing, quality, token_counts
+from tidecast.llm import chat, fingerprint, language_id, mixing, neighbours, ngram_join, packing, quality, suffix_dedup, token_counts
 from tidecast.llm.common import fold_column, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,12 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_dedup.removed(read_table(spark, sf_dir, "documents"), keep=("doc_id",))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.copies(read_table(spark, sf_dir, "documents"))
