@@ -4,14 +4,15 @@ Documents and n-grams form a sparse incidence matrix; two documents link when th
 their union.  The product of the matrix with itself is formed in blocks and only where size-derived bounds allow a link:
 
 1. N-grams are ordered from rare to frequent (by counts of all documents in a table of fixed size, then by hash).  Two rows that
-   link share an entry among their first ``n - ceil(SHARE * n) + 1``, so only these entries form columns.
-2. A column's documents are first multiplied with the column's first document alone.  That links large groups of
-   near copies by as many products as they have members.
+   link share at least ``k`` entries among their first ``n - ceil(SHARE * n) + k``, so only these entries form columns; ``k``
+   is a twentieth of the smaller row.
+2. A column's documents are first multiplied with a few of them alone, in several rounds with other ones each.  That connects
+   large groups of near copies by a number of products in proportion to their members.
 3. Then all pairs of a column that are not yet connected are multiplied, each pair once.  Pairs that are connected
    need no product: the result is components.
 
-A product counts the overlap of two whole rows; a pair whose sizes alone rule out a link is dropped before.  Documents with equal rows
-are one row.  Nothing of a size that grows with the documents is collected or broadcast.
+A product is formed over the first entries, and over whole rows only for pairs that share ``k`` of those; a pair whose sizes alone
+rule out a link is dropped before.  Documents with equal rows are one row.  Nothing of a size that grows with the documents is collected or broadcast.
 
 Defined cases: a NULL text, or one without words, has no n-gram, links with nothing and is its own component.  A text with
 fewer than five words has its whole sequence as the only n-gram.  Repeated rows link with each other.  A NULL key is no
@@ -21,24 +22,24 @@ candidate for a component's id unless all its keys are NULL.  Texts are read who
 from __future__ import annotations
 
 import hashlib
-import math
-import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from tidecast.llm.common import WHITE, byte_view, mix, powers, saved, slices
 from tidecast.llm.components import components
+from tidecast.llm.tables import WANTED_BITS, chunk_rows, is_set, merged, set_bits
 
 WORDS, SHARE_PERCENT = 5, 80
-#: Counters of the frequency table and bits of the table of wanted rows; both are fixed, whatever the input's size.
-COUNTERS, WANTED_BITS, CHUNK = 1 << 22, 1 << 26, 1 << 16
+#: Counters of the frequency table, whatever the input's size.
+COUNTERS = 1 << 22
 WORD_BASE, GRAM_BASE = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
 WORD_POWERS = powers(WORD_BASE, 1 << 12)
 SLICE = 1 << 20
+#: Bits flipped to choose the centers of columns, by round.
+SALTS = tuple(tuple(((r * 8 + k) * 0x9E3779B97F4A7C15 + 0x5851F42D4C957F2D) % (1 << 63) - (1 << 62) for k in range(n)) for r, n in enumerate((4, 6, 8)))
 
 
 def word_hashes(data: np.ndarray, first_of_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -96,28 +97,6 @@ def gram_sets(array: pa.Array, words: int = WORDS) -> list[np.ndarray]:
     return out
 
 
-def chunk_rows(table: np.ndarray, part: int) -> pa.RecordBatch:
-    """The non-empty chunks of a table, packed."""
-    chunks = table.reshape(-1, min(CHUNK, len(table)))
-    used = np.flatnonzero(chunks.any(axis=1))
-    return pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(np.full(len(used), part), pa.int64()),
-                                       pa.array([zlib.compress(chunks[i].tobytes(), 1) for i in used], pa.binary())], names=["chunk", "part", "data"])
-
-
-def merged(rows: DataFrame, size: int, kind: str, combine: np.ufunc) -> np.ndarray:
-    """One table from the packed chunks of all tasks, combined in two levels so that no task meets all of them."""
-    def fold(frame: pd.DataFrame) -> pd.DataFrame:
-        total = combine.reduce([np.frombuffer(zlib.decompress(d), kind) for d in frame["data"]], dtype=kind)
-        return pd.DataFrame({"chunk": frame["chunk"][:1], "part": frame["part"][:1] // 32, "data": [zlib.compress(total.tobytes(), 1)]})
-
-    for level in (F.floor(F.col("part") / 32), F.lit(0)):
-        rows = rows.groupBy("chunk", level.alias("level")).applyInPandas(lambda f: fold(f), "chunk long, part long, data binary")
-    out = np.zeros(size, kind).reshape(-1, min(CHUNK, size))
-    for row in rows.collect():  # at most ``size`` counters
-        out[row.chunk] = np.frombuffer(zlib.decompress(bytes(row.data)), kind)
-    return out.reshape(-1)
-
-
 def frequency_ranks(docs: DataFrame, text: str) -> np.ndarray:
     """For each counter, the magnitude of how often its n-grams occur in all documents."""
     def count(batches):
@@ -143,8 +122,19 @@ def slot(grams: np.ndarray) -> np.ndarray:
     return (grams >> np.uint64(64 - COUNTERS.bit_length() + 1)).astype(np.int64)
 
 
+def least_shared(n: int) -> int:
+    """Entries that a row of ``n`` shares with any linked row of at least its size, among the first of both."""
+    return 1 + n // 20
+
+
 def prefix_length(n: int) -> int:
-    return n - -(-SHARE_PERCENT * n // 100) + 1
+    return n - -(-SHARE_PERCENT * n // 100) + least_shared(n)
+
+
+def needed_shared(n: int, m: int) -> int:
+    """Entries that linked rows of ``n`` and ``m`` share among the first of both: all but what the rest of one can hold."""
+    least = -(-SHARE_PERCENT * (n + m) // (100 + SHARE_PERCENT))
+    return max(least_shared(min(n, m)), least - max(n - prefix_length(n), m - prefix_length(m)))
 
 
 def row_id(grams: np.ndarray) -> int:
@@ -179,34 +169,82 @@ def read_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def read_columns(rows: DataFrame) -> DataFrame:
-    """``gram, center, center_n, id, n``: columns with several rows, each with its first row beside every other one."""
+    """``gram, id, n``: the entries of columns with several rows."""
     entries = rows.select(F.explode("prefix").alias("gram"), "id", "n").repartition("gram").sortWithinPartitions("gram", "id")
 
     def run(batches):
-        gram = center = center_n = last = None
+        held = None  # the last entry, not yet known to have company, or already written
         for batch in batches:
             g, i, n = (batch.column(k).to_numpy() for k in range(3))
+            fresh = np.append(True, (g[1:] != g[:-1]) | (i[1:] != i[:-1])) if len(g) else np.zeros(0, bool)
+            g, i, n = g[fresh], i[fresh], n[fresh]
+            if held is not None and len(g) and (g[0], i[0]) == held[:2]:
+                g, i, n = g[1:], i[1:], n[1:]
             if not len(g):
                 continue
-            new = np.append(True, g[1:] != g[:-1])
-            new[0] = g[0] != gram
-            heads = np.flatnonzero(new)
-            group = np.cumsum(new) - 1
-            c = i[heads][group] if len(heads) else np.zeros(len(g), i.dtype)
-            m = n[heads][group] if len(heads) else np.zeros(len(g), n.dtype)
-            if center is not None:
-                c, m = np.where(group < 0, center, c), np.where(group < 0, center_n, m)
-            again = np.append(not new[0] and i[0] == last, (i[1:] == i[:-1]) & (g[1:] == g[:-1]))
-            keep = (c != i) & ~again
-            gram, center, center_n, last = g[-1], c[-1], m[-1], i[-1]
+            if held is not None:
+                g, i, n = (np.append(v, x) for v, x in zip(held, (g, i, n)))
+            same = g[1:] == g[:-1]
+            keep = np.append(False, same) | np.append(same, False)
+            keep[0] &= held is None or not held[3]
+            last = bool(same[-1]) if len(same) else held is not None and held[3]
+            held = (g[-1], i[-1], n[-1], last)
             if keep.any():
-                yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (g, c, m, i, n)], names=["gram", "center", "center_n", "id", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (g, i, n)], names=["gram", "id", "n"])
+
+    return saved(entries.mapInArrow(run, "gram long, id long, n long"), "gram-columns")
+
+
+def labelled(first_entries: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``gram, id, n, label``: column entries with the component their row is in so far."""
+    rows = first_entries if labels is None else first_entries.join(labels, "id", "left")
+    label = F.col("id") if labels is None else F.coalesce("label", "id")
+    return rows.select(F.explode("grams").alias("gram"), "id", "n", "most", label.alias("label"))
+
+
+def with_centers(first_entries: DataFrame, labels: DataFrame | None, salts: tuple[int, ...]) -> DataFrame:
+    """Pairs ``a, b`` of rows of a column with each of its centers, unless they are connected already.
+
+    A center is the row with the smallest id after its bits are flipped by a salt; ids are hashes, so each salt picks
+    another row, and mostly the same one in all columns of a group.
+    """
+    rows = labelled(first_entries, labels)
+    tops = rows.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high"),
+                                    *[F.min(F.col("id").bitwiseXOR(F.lit(s))).alias(f"c{k}") for k, s in enumerate(salts)])
+    centers = F.array(*[F.col(f"c{k}").bitwiseXOR(F.lit(s)) for k, s in enumerate(salts)])
+    pairs = (rows.join(tops.where("low < high").withColumn("centers", F.array_distinct(centers)), "gram")
+             .select("id", F.explode("centers").alias("center")).where("id != center")
+             .select(F.least("id", "center").alias("a"), F.greatest("id", "center").alias("b")).distinct())
+    if labels is None:
+        return pairs
+    for side in ("a", "b"):
+        pairs = (pairs.join(labels.select(F.col("id").alias(side), F.col("label").alias(f"of_{side}")), side, "left")
+                 .withColumn(f"of_{side}", F.coalesce(f"of_{side}", side)))
+    return pairs.where("of_a != of_b").select("a", "b")
+
+
+def all_open(first_entries: DataFrame, labels: DataFrame) -> DataFrame:
+    """All pairs ``a, b`` of a column that are not connected."""
+    rows = labelled(first_entries, labels)
+    tops = rows.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("id").alias("first")).where("low < high")
+    rows = saved(rows.join(tops.select("gram", "first"), "gram"), "gram-open")
+    home = rows.where("id = first").select("gram", F.col("label").alias("home"))
+    foreign = (rows.join(home, "gram").where("label != home")
+               .select("gram", F.col("id").alias("x"), F.col("n").alias("n_x"), F.col("most").alias("most_x"), F.col("label").alias("label_x")))
+    return (foreign.join(rows, "gram").where((F.col("label") != F.col("label_x")) & may_link("n", "n_x", "most", "most_x"))
+            .select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b")).distinct())
+
 
-    return saved(entries.mapInArrow(run, "gram long, center long, center_n long, id long, n long"), "gram-columns")
+def may_link(n: str, m: str, most_n: str, most_m: str):
+    """Whether rows of these sizes can link, if each can share at most so many of its entries."""
+    return (100 + SHARE_PERCENT) * F.least(most_n, most_m) >= SHARE_PERCENT * (F.col(n) + F.col(m))
 
 
-def sizes_allow(n: str, m: str):
-    return 100 * F.least(n, m) >= SHARE_PERCENT * F.greatest(n, m)
+def possible(pairs: DataFrame, first_entries: DataFrame) -> DataFrame:
+    """Those of the pairs ``a, b`` whose sizes, and entries that no other row has, allow a link."""
+    for side in ("a", "b"):
+        pairs = pairs.join(first_entries.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("most").alias(f"most_{side}")), side)
+    return pairs.where(may_link("n_a", "n_b", "most_a", "most_b")).select("a", "b")
 
 
 def whole_rows(docs: DataFrame, text: str, ids: DataFrame) -> DataFrame:
@@ -214,8 +252,7 @@ def whole_rows(docs: DataFrame, text: str, ids: DataFrame) -> DataFrame:
     def mark(batches):
         table = np.zeros(WANTED_BITS >> 3, np.uint8)
         for batch in batches:
-            at = batch.column(0).to_numpy().view(np.uint64) % np.uint64(WANTED_BITS)
-            np.bitwise_or.at(table, (at >> np.uint64(3)).astype(np.int64), np.left_shift(1, (at & np.uint64(7)).astype(np.uint8)).astype(np.uint8))
+            set_bits(table, batch.column(0).to_numpy())
         yield chunk_rows(table, TaskContext.get().partitionId())
 
     ids = saved(ids.select("id").distinct(), "gram-wanted")
@@ -229,53 +266,69 @@ def whole_rows(docs: DataFrame, text: str, ids: DataFrame) -> DataFrame:
                 found = {}
                 for grams in gram_sets(batch.column(0).slice(at, 256)):
                     name = row_id(grams)
-                    bit = name % WANTED_BITS
-                    if wanted[bit >> 3] >> (bit & 7) & 1:
-                        found[name] = grams.tobytes()
+                    if is_set(wanted, name):
+                        found[name] = grams.view(np.int64)
                 if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.int64()), pa.array(found.values(), pa.binary())], names=["id", "grams"])
+                    ends = np.cumsum([0, *map(len, found.values())]).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.int64()), pa.array(np.diff(ends).astype(np.int64)),
+                                                      pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(list(found.values()))))],
+                                                     names=["id", "n", "grams"])
 
-    found = docs.select(text).mapInArrow(read, "id long, grams binary")
+    found = docs.select(text).mapInArrow(read, "id long, n long, grams array<long>")
     return saved(found.join(ids, "id", "left_semi").dropDuplicates(["id"]), "gram-sets")
 
 
-def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the pairs ``a, b`` whose rows overlap enough."""
-    wide = (pairs.join(sets.select(F.col("id").alias("b"), F.col("grams").alias("grams_b")), "b")
-            .join(sets.select(F.col("id").alias("a"), F.col("grams").alias("grams_a")), "a").select("a", "b", "grams_a", "grams_b"))
+def multiplied(pairs: DataFrame, rows: DataFrame, keep) -> DataFrame:
+    """Those of the pairs ``a, b`` for which ``keep(overlap, n, m)`` holds; ``rows`` has ``id, n, grams``."""
+    def side(name: str) -> DataFrame:
+        return rows.select(F.col("id").alias(name), F.col("n").alias(f"n_{name}"), F.col("grams").alias(f"grams_{name}"))
+
+    wide = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "n_a", "n_b", "grams_a", "grams_b")
 
     def multiply(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = np.concatenate([x, y])
+            (x, x_at), (y, y_at) = ((c.flatten().to_numpy(), (c.offsets.to_numpy() - c.offsets[0].as_py()).tolist()) for c in batch.columns[4:])
+            good = []
+            for k, (n, m) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+                both = np.concatenate([x[x_at[k]:x_at[k + 1]], y[y_at[k]:y_at[k + 1]]])
                 both.sort(kind="stable")
-                keep.append(links(int((both[1:] == both[:-1]).sum()), len(x), len(y)))
-            found = batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+                good.append(keep(int((both[1:] == both[:-1]).sum()), n, m))
+            found = batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
             if len(found):
                 yield found
 
-    return saved(wide.mapInArrow(multiply, "a long, b long"), "gram-links")
+    return saved(wide.mapInArrow(multiply, "a long, b long"), "gram-pairs")
+
+
+def likely(pairs: DataFrame, first_entries: DataFrame) -> DataFrame:
+    """Those of the pairs that share enough of their first entries."""
+    return multiplied(possible(pairs, first_entries), first_entries, lambda overlap, n, m: overlap >= needed_shared(n, m))
+
+
+def both_ids(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
 
 
 def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
     rows = read_rows(docs, key, text)
     columns = read_columns(rows)
-    sets = whole_rows(docs, text, columns.select("id").unionByName(columns.select(F.col("center").alias("id"))))
-    first = columns.where(sizes_allow("center_n", "n")).select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
-    found = linked(first, sets)
+    # ``most``: entries a row can share at all, as those of its first ones that form no column are its own.
+    first = F.col("n") - F.ceil(SHARE_PERCENT * F.col("n") / 100) + 1 + F.floor(F.col("n") / 20)
+    first_entries = (columns.groupBy("id").agg(F.first("n").alias("n"), F.collect_list("gram").alias("grams"))
+                     .withColumn("most", F.col("n") - first + F.size("grams")))
+    first_entries = saved(first_entries.where((F.size("grams") >= 1 + F.floor(SHARE_PERCENT * F.col("n") / 2000))
+                                              & (100 * F.col("most") >= SHARE_PERCENT * F.col("n"))), "gram-first")
+    pairs = likely(with_centers(first_entries, None, SALTS[0]), first_entries)
+    sets = whole_rows(docs, text, both_ids(pairs))
+    found = multiplied(pairs, sets, links)
     labels = components(found)
-
-    named = (columns.join(labels.select("id", F.col("label").alias("of_id")), "id", "left")
-             .join(labels.select(F.col("id").alias("center"), F.col("label").alias("of_center")), "center", "left")
-             .withColumns({"of_id": F.coalesce("of_id", "id"), "of_center": F.coalesce("of_center", "center")}))
-    named = saved(named.select("gram", "id", "n", "of_id", "of_center"), "gram-named")
-    foreign = named.where("of_id != of_center").select("gram", F.col("id").alias("x"), F.col("n").alias("x_n"), F.col("of_id").alias("of_x"))
-    rest = (foreign.join(named, "gram").where((F.col("of_id") != F.col("of_x")) & sizes_allow("n", "x_n"))
-            .select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b")).distinct())
-    labels = components(found.unionByName(linked(rest, sets)))
+    for salts in SALTS[1:]:  # pairs of rows that are not among ``sets`` wait for the last step
+        pairs = likely(with_centers(first_entries, labels, salts), first_entries)
+        found = found.unionByName(multiplied(pairs, sets, links))
+        labels = components(found)
+    pairs = likely(all_open(first_entries, labels), first_entries)
+    labels = components(found.unionByName(multiplied(pairs, whole_rows(docs, text, both_ids(pairs)), links)))
 
     grouped = rows.select("doc_id", "n", "id").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     lowest = grouped.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("lowest"))
