@@ -19,6 +19,8 @@ import numpy as np
 
 #: Bytes of queue entries kept in memory by one sort.
 MEMORY = 64 << 20
+#: Entries that induce their neighbours at once.
+STEP = 1 << 18
 ENTRY = np.dtype([("at", "<i8"), ("lcp", "<u2")])
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -78,8 +80,12 @@ class Sweep:
         self.since = np.full(letters, -1, np.int64)  # least value since the letter's last entry; -1 before its first
 
     def induce(self, entries: np.ndarray) -> None:
+        for k in range(0, len(entries), STEP):
+            self.step(entries[k:k + STEP])
+
+    def step(self, entries: np.ndarray) -> None:
         """Queue the left neighbours of entries that come next in order, where they are of the wanted type."""
-        at, lcp = entries["at"], entries["lcp"].astype(np.int64)
+        at, lcp = entries["at"], entries["lcp"].astype(np.int32)
         chosen = np.flatnonzero((at > 0) & self.wanted[at - 1])
         letters = self.text[at[chosen] - 1]
         order = np.argsort(letters, kind="stable")

@@ -34,9 +34,11 @@ from tidecast.llm.tables import WANTED_BITS, chunk_rows, is_set, merged, set_bit
 
 SPAN, GRAM = 400, 100
 #: Different stretches of a group that go to one shard unsplit, and bytes aimed at per shard.
-MOST, SHARD_BYTES = 500, 2 << 20
+MOST, SHARD_BYTES = 500, 1 << 20
 BASE = 0x9E3779B97F4A7C15 | 1
 PART = 1 << 19
+#: Documents whose stretches a task hands on at once.
+TOGETHER = 256
 PLACE = np.uint64((1 << 20) - 1)
 POWERS, INVERSE = powers(BASE, PART + SPAN), powers(pow(BASE, -1, 1 << 64), PART + SPAN)
 STRETCH = "gram long, d1 long, d2 long, doc long, start long, windows long, lead int"
@@ -76,10 +78,16 @@ def digest(data: np.ndarray, start: int, windows: int) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
+def parts(batches):
+    for batch in batches:
+        for at in range(0, len(batch), TOGETHER):
+            yield batch.slice(at, TOGETHER)
+
+
 def find_stretches(docs: DataFrame) -> DataFrame:
     """Stretches of ``doc, text``."""
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             data, offsets = byte_view(batch.column(1))
             columns: list[list[np.ndarray]] = [[] for _ in range(7)]
             for name, a, b in zip(batch.column(0).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
@@ -109,7 +117,7 @@ def open_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             data, offsets = byte_view(batch.column(1))
             found = {}
             for name, a, b in zip(batch.column(0).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
@@ -228,7 +236,7 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: tupl
     wide = wide.select(*[f"keep_{c}" for c in keep], "text", "starts", "windows")
 
     def cut(batches):
-        for batch in batches:
+        for batch in parts(batches):
             data, offsets = byte_view(batch.column(len(keep)))
             gone, number, kept = [], [], []
             for k, (a, b, s, w) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), batch.column(len(keep) + 1), batch.column(len(keep) + 2))):
