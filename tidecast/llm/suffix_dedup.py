@@ -7,10 +7,11 @@ string have to meet in one shard before suffixes can be sorted there:
    share an anchor place follow each other and form a stretch.  Stretches are grouped by their anchor's hash.
 2. In a group of one stretch nothing repeats.  In a group of equal stretches every window does.  Only groups of
    different stretches are open; each different stretch goes on once, with its number of copies.
-3. Groups are dealt to shards by hash.  A group of more than ``MOST`` different stretches is halved first, by the place of the
-   anchor in the window, and dealt by the bytes that all windows of a half share; equal windows still meet, and a common
-   passage with many surroundings falls apart into small groups.
-4. A shard sorts the suffixes of its stretches by external induced sorting.  A window that has ``SPAN`` bytes in common with a
+3. Open stretches are cut into blocks by the place of the anchor in the window, and grouped anew by the bytes that all windows of a
+   block share; equal windows still meet.  A part alone in its group is done, as are equal parts.  What stays open are
+   places where a copy begins or ends.  Groups of more than ``MOST`` different parts are cut on, so a common passage with many
+   surroundings falls apart into small groups.
+4. Groups are dealt to shards by hash.  A shard sorts the suffixes of its parts by external induced sorting.  A window that has ``SPAN`` bytes in common with a
    neighbour in that order repeats.
 
 Defined cases: a NULL text is empty; an empty or short text keeps all bytes.  Repeated rows remove each other's bytes.  Overlapping
@@ -33,7 +34,8 @@ from tidecast.llm.induced_sort import suffix_array
 from tidecast.llm.tables import WANTED_BITS, chunk_rows, is_set, merged, set_bits
 
 SPAN, GRAM = 400, 100
-#: Different stretches of a group that go to one shard unsplit, and bytes aimed at per shard.
+#: Sizes of the blocks of anchor places that stretches are cut into, different parts of a group that go to one shard, and bytes aimed at per shard.
+BLOCKS = (128, 32)
 MOST, SHARD_BYTES = 500, 1 << 20
 BASE = 0x9E3779B97F4A7C15 | 1
 PART = 1 << 19
@@ -138,25 +140,42 @@ def open_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.groupBy("gram", "d1", "d2").agg(least).select("gram", "d1", "d2", "one.*")
 
 
-def halves(batches):
-    """Each stretch of a large group in one or two parts, by the place of the anchor; grouped by what all windows of the part share."""
-    for batch in batches:
-        out = []
-        for row in batch.to_pylist():
-            data, lead, size = row["bytes"], row["lead"], row["block"] >> 1
-            windows = len(data) - SPAN + 1
-            for low in (row["low"], row["low"] + size):
-                # Windows whose anchor is at ``low`` up to ``low + size - 1``; window k has it at lead - k.
-                first, last = max(0, lead - low - size + 1), min(windows - 1, lead - low)
-                if first <= last:
-                    core = data[lead - low:max(lead - low, lead - low - size + 1 + SPAN)]
-                    mark = hashlib.blake2b(core + f"{row['group']} {size} {low}".encode(), digest_size=8).digest()
-                    out.append((int.from_bytes(mark, "little", signed=True), size, low, row["doc"], row["start"] + first, lead - first,
-                                row["copies"], data[first:last + SPAN]))
-        if out:
-            types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)],
-                                             names=["group", "block", "low", "doc", "start", "lead", "copies", "bytes"])
+def parts_of(size: int):
+    """Cuts each stretch by the place of the anchor in the window, in blocks of ``size``; a part's group is what all windows of its block share."""
+    def run(batches):
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                data, lead = row["bytes"], row["lead"]
+                windows = len(data) - SPAN + 1
+                for low in range(row["low"], min(row["low"] + row["block"], lead + 1), size):
+                    # Windows whose anchor is at ``low`` up to ``low + size - 1``; window k has it at lead - k.
+                    first, last = max(0, lead - low - size + 1), min(windows - 1, lead - low)
+                    if first <= last:
+                        core = data[lead - low:max(lead - low, lead - low - size + 1 + SPAN)]
+                        mark = hashlib.blake2b(core + f"{row['group']} {size} {low}".encode(), digest_size=8).digest()
+                        out.append((int.from_bytes(mark, "little", signed=True), size, low, row["doc"], row["start"] + first, lead - first,
+                                    row["copies"], data[first:last + SPAN]))
+            if out:
+                types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)],
+                                                 names=["group", "block", "low", "doc", "start", "lead", "copies", "bytes"])
+
+    return run
+
+
+def divided(rows: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """Parts that are still open, equal ones once, and the windows of those that turned out equal to another one.
+
+    A part that is alone in its group has no window in common with any other.
+    """
+    parts_ = saved(rows.mapInArrow(parts_of(size), rows.schema).withColumn("hash", F.xxhash64("bytes")), "stretch-parts")
+    counted = parts_.groupBy("group", "hash", "bytes").agg(F.sum("copies").alias("copies"), F.min(F.struct("doc", "start", "lead", "block", "low")).alias("one"))
+    counted = saved(counted, "stretch-counted")
+    equal = parts_.where("copies = 1").join(counted.where("copies > 1").select("group", "hash"), ["group", "hash"], "left_semi")
+    company = counted.groupBy("group").agg(F.count("*").alias("rows"), F.min("copies").alias("least")).where("rows > 1 and least = 1").select("group")
+    rows = counted.join(company, "group", "left_semi").select("group", "one.block", "one.low", "one.doc", "one.start", "one.lead", "copies", "bytes")
+    return saved(rows, "stretch-texts"), equal.select("doc", "start", (F.length("bytes") - SPAN + 1).cast("long").alias("windows"))
 
 
 def repeated_in(shard: pd.DataFrame) -> pd.DataFrame:
@@ -191,22 +210,18 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     copies = shared.join(classes.where("copies > 1").drop("copies"), ["gram", "d1", "d2"], "left_semi").unionByName(shared.where("not mixed"))
 
     rows = open_texts(docs, classes).select(F.col("gram").alias("group"), F.lit(512).alias("block"), F.lit(0).alias("low"), "doc", "start", "lead", "copies", "bytes")
-    ready = []
-    rows = saved(rows, "stretch-texts")
-    while True:
-        large = rows.groupBy("group").agg(F.count("*").alias("rows")).where((F.col("rows") > MOST))
+    copies, ready = copies.select("doc", "start", "windows"), []
+    for size in BLOCKS:
+        rows, equal = divided(rows, size)
+        copies = copies.unionByName(equal)
+    while True:  # groups that are still large; a block of one place has equal windows only, so this ends
+        large = saved(rows.groupBy("group").agg(F.count("*").alias("rows")).where(F.col("rows") > MOST).select("group"), "stretch-large")
         if not large.limit(1).count():
             break
-        split = rows.join(large.select("group"), "group", "left_semi").where("block > 1")
-        ready.append(rows.join(large.select("group"), "group", "left_anti"))
-        ready.append(rows.where("block = 1").join(large.select("group"), "group", "left_semi"))
-        halved = split.mapInArrow(halves, split.schema)
-        # Equal parts are one from here on; a part that had company repeats as a whole and stays for the others.
-        halved = saved(halved.withColumn("hash", F.xxhash64("bytes")), "stretch-halves")
-        counted = halved.groupBy("group", "hash", "bytes").agg(F.sum("copies").alias("copies"), F.min(F.struct("doc", "start", "lead", "block", "low")).alias("one"))
-        whole = halved.where("copies = 1").join(counted.where("copies > 1").select("group", "hash", "bytes"), ["group", "hash", "bytes"], "left_semi")
-        copies = copies.select("doc", "start", "windows").unionByName(whole.select("doc", "start", (F.length("bytes") - SPAN + 1).cast("long").alias("windows")))
-        rows = saved(counted.select("group", "one.block", "one.low", "one.doc", "one.start", "one.lead", "copies", "bytes"), "stretch-texts")
+        ready.append(rows.join(large, "group", "left_anti"))
+        size //= 2
+        rows, equal = divided(rows.join(large, "group", "left_semi"), size)
+        copies = copies.unionByName(equal)
     ready.append(rows)
     shards = ready[0]
     for more in ready[1:]:
@@ -215,7 +230,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     number = max(1, total // SHARD_BYTES)
     sorted_out = (shards.groupBy(F.pmod(F.xxhash64("group"), F.lit(number)).alias("shard"))
                   .applyInPandas(lambda f: repeated_in(f), "doc long, start long, windows long"))
-    return copies.select("doc", "start", "windows").unionByName(sorted_out)
+    return copies.unionByName(sorted_out)
 
 
 def spans(starts: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -227,15 +242,15 @@ def spans(starts: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return first[new], reach[np.append(np.flatnonzero(new)[1:] - 1, len(first) - 1)]
 
 
-def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Columns ``keep`` of ``docs`` with ``n_bytes, n_removed, n_spans, kept`` (the remaining bytes)."""
+def cut(docs: DataFrame, key: str, text: str, keep: tuple[str, ...]) -> DataFrame:
+    """Columns ``keep`` of ``docs``, with ``keep_`` before their names, and ``n_bytes, n_removed, n_spans, kept``."""
     own = F.xxhash64(F.col(key), text_of(text))
     found = repeated_windows(docs.select(own.alias("doc"), text_of(text).alias("text")))
     found = found.groupBy("doc").agg(F.collect_list("start").alias("starts"), F.collect_list("windows").alias("windows"))
     wide = docs.select(*[F.col(c).alias(f"keep_{c}") for c in keep], text_of(text).alias("text"), own.alias("doc")).join(found, "doc", "left")
     wide = wide.select(*[f"keep_{c}" for c in keep], "text", "starts", "windows")
 
-    def cut(batches):
+    def run(batches):
         for batch in parts(batches):
             data, offsets = byte_view(batch.column(len(keep)))
             gone, number, kept = [], [], []
@@ -256,14 +271,18 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: tupl
     from pyspark.sql.types import StructType
 
     schema = StructType([*wide.schema.fields[:len(keep)], *StructType.fromDDL("n_bytes long, n_removed long, n_spans long, kept binary").fields])
-    out = wide.mapInArrow(cut, schema)
+    return wide.mapInArrow(run, schema)
+
+
+def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Columns ``keep`` of ``docs`` with ``n_bytes, n_removed, n_spans, kept`` (the remaining bytes)."""
+    out = cut(docs, key, text, keep)
     return out.select(*[F.col(f"keep_{c}").alias(c) for c in keep], "n_bytes", "n_removed", "n_spans", "kept")
 
 
 def clean(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the repeated bytes taken out of their texts; what a cut leaves of a character goes too, NULL texts stay NULL."""
-    names = [c for c in docs.columns if c != text]
-    marked = docs.withColumn("__null", F.col(text).isNull())
-    out = removed(marked, key, text, keep=(*names, "__null"))
-    whole = with_columns(out, "__text string", lambda c: [pa.array([v.as_py().decode("utf-8", "ignore") for v in c[0]], pa.string())], ["kept"])
-    return whole.withColumn(text, F.when(~F.col("__null"), F.col("__text"))).select(*docs.columns)
+    own = tuple(c for c in docs.columns if c != text)
+    out = cut(docs.withColumn("__null", F.col(text).isNull()), key, text, (*own, "__null"))
+    out = with_columns(out, "__text string", lambda c: [pa.array([v.as_py().decode("utf-8", "ignore") for v in c[0]], pa.string())], ["kept"])
+    return out.select(*[F.when(~F.col("keep___null"), F.col("__text")).alias(text) if c == text else F.col(f"keep_{c}").alias(c) for c in docs.columns])
