@@ -30,7 +30,8 @@ def iso(ts: str) -> str:
 
 def rnd(value: str, digits: int = 6) -> str:
     scale = f"1e{digits}"
-    return f"floor(({value})::DOUBLE * {scale} + 0.5::DOUBLE) / {scale}"
+    scaled = f"({value})::DOUBLE * {scale}"
+    return f"(CASE WHEN abs({scaled}) < 4503599627370496::DOUBLE THEN floor({scaled} + 0.5::DOUBLE) / {scale} ELSE ({value})::DOUBLE END)"
 
 
 def clean(text: str) -> str:
@@ -228,6 +229,7 @@ def oracle(name: str, sql: str, *ctes: str) -> None:
 # Sources
 oracle("source_replay", "SELECT timestamp, total_viewers FROM viewership", "viewership")
 oracle("parse_tweets", f"SELECT {TWEET} FROM tweets", "tweets")
+oracle("tweets_dedup", f"SELECT {TWEET} FROM tweets", "tweets")
 oracle("parse_viewership", """
     SELECT v.timestamp, v.timestamp AS event_ts, v.total_viewers,
         (SELECT count(*) FROM regional r WHERE r.d = v.d)::INT AS n_regions,

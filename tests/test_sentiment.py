@@ -60,7 +60,8 @@ def test_joined_scores_keep_every_copy_of_a_text(spark, lexicon):
 
 
 def test_lexicon_beyond_the_bound_is_joined(spark, lexicon):
-    assert inline_lexicon(lexicon, max_entries=4) is None
+    with pytest.raises(ValueError):
+        inline_lexicon(lexicon, max_entries=4)
     assert inline_lexicon(lexicon, max_entries=5) is not None
     assert inline_lexicon(lexicon.limit(0), ["a"]) is not None
     assert inline_lexicon(lexicon.limit(0)) is not None

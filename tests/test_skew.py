@@ -33,7 +33,7 @@ def test_hot_key_is_spread_over_tasks(spark, shuffled_joins):
     lookup = spark.createDataFrame([("hot", 1)], "k string, w int")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        sizes = lookup_join(rows, lookup, "k").groupBy(F.spark_partition_id()).count().collect()
+        sizes = lookup_join(rows, lookup, "k", salts=8, spread_by="v").groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert len(sizes) > 1 and sum(r["count"] for r in sizes) == 40_000

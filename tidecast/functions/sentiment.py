@@ -59,8 +59,8 @@ class InlineLexicon:
 
 
 def inline_lexicon(lexicon: DataFrame, stop_words: Sequence[str] = (),
-                   max_entries: int = MAX_INLINE_ENTRIES) -> InlineLexicon | None:
-    """Read the lexicon into a plan literal, or return None when it has more than ``max_entries``.
+                   max_entries: int = MAX_INLINE_ENTRIES) -> InlineLexicon:
+    """Read the lexicon into a plan literal; one with more than ``max_entries`` is refused and has to be joined.
 
     A word in both lists is a stop word.
     """
@@ -71,7 +71,7 @@ def inline_lexicon(lexicon: DataFrame, stop_words: Sequence[str] = (),
     # Spark computes the hashes, so that they agree with the lookup.
     rows = listed.select("token", "micros", F.xxhash64("token").alias("hash")).collect()
     if sum(row.micros != STOP for row in rows) > max_entries:
-        return None
+        raise ValueError(f"more than {max_entries} entries: pass the frame itself, it is then joined")
     buckets: list[dict[str, int]] = [{} for _ in range(max(1, len(rows)))]
     for row in rows:
         bucket = buckets[row.hash % len(buckets)]
@@ -146,12 +146,13 @@ def combine_sentiment(pos: Column, neu: Column, neg: Column, compound: Column,
 Classifier = Callable[[Sequence[str]], tuple[Sequence[str], Sequence[float]]]
 
 
-def classifier_column(text: Column, make_classifier: Callable[[], Classifier], max_chars: int = 512) -> Column:
+def classifier_column(text: Column, make_classifier: Callable[[], Classifier], max_chars: int = 512,
+                      pieces_per_call: int = 256) -> Column:
     """Score texts with a model: ``make_classifier()`` is called once per task and its result takes a list of
     texts and returns their labels and scores.
 
     Models take a limited input.  A longer text is cut into pieces of ``max_chars`` and gets the mean of the
-    pieces' scores, weighted by their lengths, so all of it counts.  NULL text, or a NaN score on any piece,
+    pieces' scores, weighted by their lengths, so all of it counts.  The model sees at most ``pieces_per_call`` pieces at once.  NULL text, or a NaN score on any piece,
     gives NULL.
     """
 
@@ -167,9 +168,12 @@ def classifier_column(text: Column, make_classifier: Callable[[], Classifier], m
             if not pieces:
                 yield pd.Series(np.full(len(texts), np.nan))
                 continue
-            labels, scores = classify(pieces)
-            scores = np.asarray(scores, dtype="float64")
-            oriented = np.where(np.asarray(labels) == POSITIVE_LABEL, scores, 1.0 - scores)
+            parts = []
+            for at in range(0, len(pieces), pieces_per_call):
+                labels, scores = classify(pieces[at:at + pieces_per_call])
+                scores = np.asarray(scores, dtype="float64")
+                parts.append(np.where(np.asarray(labels) == POSITIVE_LABEL, scores, 1.0 - scores))
+            oriented = np.concatenate(parts)
             weight = np.asarray([len(p) for p in pieces], dtype="float64")
             total = np.bincount(owner, weights=weight, minlength=len(texts))
             summed = np.bincount(owner, weights=weight * oriented, minlength=len(texts))
@@ -220,20 +224,19 @@ def score_sentiment(df: DataFrame, text_col: str, lexicon: DataFrame | InlineLex
                     output_col: str = "sentiment") -> DataFrame:
     """Add the sentiment struct to every row.
 
-    ``classifier`` is a column with the classifier's score (see `classifier_column`), or None.  A lexicon
-    frame that fits the plan is inlined with the stop words; a larger one is joined, which a stream cannot do.
-    An `InlineLexicon` brings its own stop words.
+    ``classifier`` is a column with the classifier's score (see `classifier_column`), or None.  The caller chooses the
+    form: an `InlineLexicon`, which brings its own stop words, is looked up in the row; a lexicon frame of any size is
+    joined.  The scores are the same.  On a stream a frame is joined batch by batch: call this inside ``foreachBatch``.
     """
     scratch = ("pos", "neu", "neg", "compound", "n_words")
     if clash := set(df.columns) & set(scratch):
         raise ValueError(f"rename the columns {sorted(clash)} first")
     if classifier is not None:
         df = df.withColumn("_classifier", classifier)
-    inline = lexicon if isinstance(lexicon, InlineLexicon) else inline_lexicon(lexicon, stop_words)
-    if inline is not None:
-        scored = lexicon_sentiment(df, text_col, inline)
+    if isinstance(lexicon, InlineLexicon):
+        scored = lexicon_sentiment(df, text_col, lexicon)
     elif df.isStreaming:
-        raise ValueError("the lexicon is too large for a stream: score the batches inside foreachBatch")
+        raise ValueError("a lexicon frame is joined per batch: score inside foreachBatch, or pass an InlineLexicon")
     else:
         scored = lexicon_sentiment_joined(df, text_col, lexicon, stop_words)
     score = combine_sentiment(F.col("pos"), F.col("neu"), F.col("neg"), F.col("compound"),

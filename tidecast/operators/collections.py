@@ -1,4 +1,7 @@
-"""Document collections: nested rows with a store key ``_id`` that grows in insertion order."""
+"""Document collections: nested rows with a store key ``_id`` that grows in insertion order.
+
+Rows without a store key are read like others, after them, but `update_one` and `delete_one` never touch them.
+"""
 
 from __future__ import annotations
 
@@ -26,7 +29,7 @@ def with_ids(documents: DataFrame, batch_id: int) -> DataFrame:
 
 def find_many(collection: DataFrame, query: Mapping[str, Any], limit: int = DEFAULT_LIMIT) -> DataFrame:
     """The first ``limit`` matches in insertion order."""
-    return collection.where(matches(query)).orderBy(ID).limit(limit)
+    return collection.where(matches(query)).orderBy(F.asc_nulls_last(ID)).limit(limit)
 
 
 def find_one(collection: DataFrame, query: Mapping[str, Any]) -> DataFrame:
@@ -39,9 +42,14 @@ def first_match(collection: DataFrame, query: Mapping[str, Any]) -> Column:
     return collection.where(matches(query)).agg(F.min(ID)).scalar()
 
 
+def has_key(key: Column) -> Column:
+    """Whether a row is the one with ``key``; a row without a store key never is."""
+    return F.coalesce(F.col(ID) == key, F.lit(False))
+
+
 def update_one(collection: DataFrame, query: Mapping[str, Any], changes: Mapping[str, Any]) -> DataFrame:
     """The collection with the top-level columns of ``changes`` set in the first match."""
-    hit = F.col(ID) == first_match(collection, query)
+    hit = has_key(first_match(collection, query))
     updated = {
         name: F.when(hit, F.lit(value).cast(collection.schema[name].dataType)).otherwise(F.col(name))
         for name, value in changes.items()
@@ -51,8 +59,7 @@ def update_one(collection: DataFrame, query: Mapping[str, Any], changes: Mapping
 
 def delete_one(collection: DataFrame, query: Mapping[str, Any]) -> DataFrame:
     """The collection without its first match."""
-    target = first_match(collection, query)
-    return collection.where(target.isNull() | (F.col(ID) != target))
+    return collection.where(~has_key(first_match(collection, query)))
 
 
 def count_matched(collection: DataFrame, query: Mapping[str, Any]) -> DataFrame:

@@ -119,3 +119,13 @@ def envelope_posts(messages: DataFrame) -> DataFrame:
 def normalize_posts(messages: DataFrame, keywords: Sequence[str]) -> DataFrame:
     """Raw search responses to rows of the post contract."""
     return finish_posts(envelope_posts(messages).drop("author_id"), keywords)
+
+
+def dedup_posts(posts: DataFrame, key: str = "id", event_time: str = "created_ts", lateness: str = "15 minutes") -> DataFrame:
+    """Each post once, however often it was fetched; posts without a key stay apart in a batch.
+
+    A stream forgets a key ``lateness`` after its time, which covers the window that fetches overlap in.
+    """
+    if posts.isStreaming:
+        return posts.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark([key])
+    return posts.where(F.col(key).isNotNull()).dropDuplicates([key]).unionByName(posts.where(F.col(key).isNull()))

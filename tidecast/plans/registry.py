@@ -194,6 +194,13 @@ def parse_tweets(spark, sf_dir):
     return spread_post(parsed_posts(spark, sf_dir))
 
 
+@query("tweets_dedup")
+def tweets_dedup(spark, sf_dir):
+    """Every post fetched twice, kept once."""
+    posts = parsed_posts(spark, sf_dir)
+    return spread_post(post_ops.dedup_posts(posts.unionByName(posts)))
+
+
 @query("parse_viewership")
 def parse_viewership_messages(spark, sf_dir):
     rows = parsed_viewership(spark, sf_dir)
@@ -218,8 +225,8 @@ def parse_rejected(spark, sf_dir):
 
 
 def tweet_collection(spark, sf_dir):
-    """Posts as a document collection, keyed so that insertion order is post order."""
-    return parsed_posts(spark, sf_dir).withColumn(docs.ID, F.lpad("id", 20, "0"))
+    """Posts as a document collection, keyed so that insertion order is post order: length before digits, nothing cut."""
+    return parsed_posts(spark, sf_dir).withColumn(docs.ID, F.format_string("%010d%s", F.length("id"), F.col("id")))
 
 
 @query("collection_find_many")
@@ -261,7 +268,7 @@ def latest_state_get(spark, sf_dir):
 
 @query("campaign_json_scan")
 def campaign_json_scan(spark, sf_dir):
-    return read_campaigns(spark, feeds.campaign_folder(spark, sf_dir))
+    return read_campaigns(spark, feeds.campaign_folder(spark, sf_dir), one_array_per_file=False)
 
 
 # --- posts and ad metrics ---------------------------------------------------------------------------------
@@ -333,7 +340,7 @@ def regional_ad_metric_ratios(spark, sf_dir):
 
 @query("campaign_metrics")
 def campaign_metrics(spark, sf_dir):
-    return ad_metrics(read_campaigns(spark, feeds.campaign_folder(spark, sf_dir)))
+    return ad_metrics(read_campaigns(spark, feeds.campaign_folder(spark, sf_dir), one_array_per_file=False))
 
 
 # --- flatten ----------------------------------------------------------------------------------------------

@@ -10,9 +10,6 @@ from pyspark.sql.types import (
     StructType, TimestampNTZType, TimestampType,
 )
 
-POSTS_TOPIC = "twitter-data"
-VIEWERSHIP_TOPIC = "viewership-data"
-ADS_TOPIC = "ad-data"
 
 TEXT, FLAG = StringType(), BooleanType()
 INT, LONG, FLOAT, DOUBLE = IntegerType(), LongType(), FloatType(), DoubleType()

@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from tidecast.schemas import CAMPAIGN
 
 
-def read_campaigns(spark: SparkSession, path: str, one_array_per_file: bool = False) -> DataFrame:
+def read_campaigns(spark: SparkSession, path: str, one_array_per_file: bool) -> DataFrame:
     """Campaign records below ``path``.
 
-    By default a file holds one array per line and can be split between tasks.  A file that is one array over
-    several lines needs ``one_array_per_file``; such a file is read by one task.
+    The caller names the layout.  Files with one array per line can be split between tasks.  A file that is one array
+    over several lines (``one_array_per_file``) is read by one task.  A file of the other layout, or one that is no
+    JSON, is an error and not a row of NULLs.
     """
-    return spark.read.schema(CAMPAIGN).option("multiLine", one_array_per_file).json(path)
+    return spark.read.schema(CAMPAIGN).option("multiLine", one_array_per_file).option("mode", "FAILFAST").json(path)

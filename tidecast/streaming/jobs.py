@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidecast.operators.flatten import ads_flat, platform_viewership, regional_ads, regional_viewership
@@ -18,7 +18,7 @@ from tidecast.operators.latest import latest_ads, latest_sentiment, latest_viewe
 from tidecast.operators.state import children, keyed_children, state_set, state_update
 from tidecast.schemas import ADS, POST, SCORED_POST, VIEWERSHIP
 from tidecast.sources.messages import decode, parse_posts, parsed_rows, parse_rejects, rejected_rows
-from tidecast.streaming.sinks import BatchWriter, StateTable, batch_writer, fan_out
+from tidecast.streaming.sinks import BatchWriter, StateTable, batch_writer, fan_out, run_of
 from tidecast.streaming.windows import flat_windows, sentiment_windows
 
 SENTIMENT_FIELDS = ["timestamp", "positive", "neutral", "negative", "compound"]
@@ -55,11 +55,25 @@ def _start(rows: DataFrame, layout: Layout, job: str, trigger: dict, write: Batc
 
 
 def start_posts(messages: DataFrame, score: Score, layout: Layout, trigger: dict) -> StreamingQuery:
-    """Parsed and scored posts to the ``posts`` table.  ``score`` adds the ``sentiment`` column."""
+    """Parsed and scored posts to the ``posts`` table.  ``score`` adds the ``sentiment`` column.
+
+    The table's log skips batch numbers it has.  A new checkpoint would start from 0 and lose its first posts in silence, so it
+    is refused: move the table away with its old checkpoint.
+    """
+    spark = messages.sparkSession
+    if has_files(spark, layout.table("posts") + "/_spark_metadata") and not has_files(spark, layout.checkpoint("posts") + "/commits"):
+        raise ValueError("the posts table was written under another checkpoint")
     columns = [f.name for f in SCORED_POST.fields]
     return _start(score(parse_posts(messages)).select(*columns), layout, "posts", trigger)
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a folder of the shared store has entries."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store.exists(folder) and len(store.listStatus(folder)) > 0
+
+
 def start_post_rejects(messages: DataFrame, layout: Layout, trigger: dict) -> StreamingQuery:
     """Unreadable post messages to the ``post_rejects`` table."""
     return _start(parse_rejects(messages, POST, "created_at"), layout, "post_rejects", trigger)
@@ -88,7 +102,7 @@ def start_latest_sentiment(posts: DataFrame, layout: Layout, trigger: dict, mode
     batch and keeps them all.  The state is the same, as it only takes the newest.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        table = StateTable(batch.sparkSession, layout.state("sentiment"))
+        table = StateTable(batch.sparkSession, layout.state("sentiment"), run=run_of(batch))
         changes = children(latest_sentiment(batch), "sentiment", SENTIMENT_FIELDS, batch_id=batch_id)
         table.commit(state_update(table.read(batch_id), changes), batch_id)
 
@@ -101,7 +115,7 @@ def start_viewership(messages: DataFrame, layout: Layout, trigger: dict) -> Stre
         return parsed_rows(decoded, VIEWERSHIP, "timestamp", "event_ts")
 
     def write_state(decoded: DataFrame, batch_id: int) -> None:
-        table = StateTable(decoded.sparkSession, layout.state("viewership"))
+        table = StateTable(decoded.sparkSession, layout.state("viewership"), run=run_of(decoded))
         changes = children(latest_viewership(parsed(decoded)), "viewership", VIEWERSHIP_FIELDS, batch_id=batch_id)
         table.commit(state_update(table.read(batch_id), changes), batch_id)
 
@@ -119,7 +133,8 @@ def start_viewership(messages: DataFrame, layout: Layout, trigger: dict) -> Stre
 def start_ads(messages: DataFrame, layout: Layout, trigger: dict) -> StreamingQuery:
     """Advertising messages to raw, per-ad and per-region tables, rejects, and the state ``ads``.
 
-    The state's list of ads is replaced as a whole by the totals of each batch that has any.
+    The state's list of ads and its time stamp come from one batch: the totals of a batch replace both, unless the batch is
+    older than the stamp.
     """
     def parsed(decoded: DataFrame) -> DataFrame:
         return parsed_rows(decoded, ADS, "timestamp", "event_ts")
@@ -127,9 +142,11 @@ def start_ads(messages: DataFrame, layout: Layout, trigger: dict) -> StreamingQu
     def write_state(decoded: DataFrame, batch_id: int) -> None:
         totals = latest_ads(ads_flat(parsed(decoded))).persist()
         try:
-            table = StateTable(decoded.sparkSession, layout.state("ads"))
+            table = StateTable(decoded.sparkSession, layout.state("ads"), run=run_of(decoded))
             state = table.read(batch_id)
-            if not totals.isEmpty():
+            new = totals.agg(F.max("updated_at")).first()[0]
+            old = state.where("path = 'ads' AND key = 'timestamp'").agg(F.max("updated_at")).first()[0]
+            if not totals.isEmpty() and (old is None or new is not None and new >= old):
                 listed = keyed_children(totals, "ads/ads", "type", AD_FIELDS, batch_id=batch_id)
                 stamp = children(totals.select("updated_at", "timestamp").distinct(), "ads", ["timestamp"],
                                  batch_id=batch_id)

@@ -13,28 +13,35 @@ from pyspark.sql.types import StructType
 
 from tidecast.schemas import STATE
 
-BATCH = "batch_id"
+RUN, BATCH = "run", "batch_id"
 BatchWriter = Callable[[DataFrame, int], None]
 
 
-def write_batch(rows: DataFrame, table: str, batch_id: int, sort_by: Sequence[str] = (),
-                partition_by: Sequence[str] = ()) -> None:
-    """Write one batch to a folder of its own, replacing what an earlier attempt left there.
+def run_of(rows: DataFrame) -> str:
+    """The id of the streaming query whose batch this is.
 
-    ``sort_by`` sorts within each task only, so that a time filter can skip row groups.  ``partition_by`` is
-    for feeds with few distinct values per batch.
+    It lives in the query's checkpoint: restarts keep it, a new checkpoint, which numbers its batches from 0 again, has a new one.
     """
+    return rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+
+
+def write_batch(rows: DataFrame, table: str, batch_id: int, sort_by: Sequence[str] = (), run: str | None = None) -> None:
+    """Write one batch of a run to a folder of its own, replacing what an earlier attempt left there.
+
+    ``sort_by`` sorts within each task only, so that a time filter can skip row groups.
+    """
+    run = run or run_of(rows)
     if sort_by:
         rows = rows.sortWithinPartitions(*sort_by)
-    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{table}/{BATCH}={batch_id}")
+    rows.write.mode("overwrite").parquet(f"{table}/{RUN}={run}/{BATCH}={batch_id}")
 
 
 def read_batches(spark: SparkSession, table: str, schema: StructType | None = None) -> DataFrame:
-    """All batches of a table, without the batch number."""
+    """All batches of all runs of a table, without their numbers."""
     reader = spark.read.option("basePath", table)
     if schema:
         reader = reader.schema(schema)
-    return reader.parquet(table).drop(BATCH)
+    return reader.parquet(table).drop(RUN, BATCH)
 
 
 def batch_writer(table: str, transform: Callable[[DataFrame], DataFrame] | None = None,
@@ -62,35 +69,50 @@ def fan_out(prepare: Callable[[DataFrame], DataFrame], writers: Sequence[BatchWr
 
 
 class StateTable:
-    """Latest state in numbered versions, one per batch, of which the last ``keep`` are kept.
-
-    A version counts once its number is logged, which happens last, so readers never see half a version, and
-    a repeated batch starts from the same predecessor and replaces the same version.  Versions take turns
-    in ``keep`` folders, so the table does not grow with the number of batches; a reader has that many
-    batches' time.  Commit every batch, changed or not, so that a version never meets its own predecessor's
-    folder.  State holds current values only, a few rows per path, so a full copy is cheap.
+    """Latest state in versions, one per batch, of which the last ``keep`` are kept.
+
+    A version is a batch of a run (see `run_of`).  Versions of all runs are numbered in the order of their first commit, so a new run,
+    whose batches start at 0 again, continues from the newest state of any run.  A version counts once it is logged, which
+    happens last, so readers never see half a version, and a repeated batch starts from the same predecessor and replaces the
+    same version.  Versions take turns in ``keep`` folders, so the table does not grow with the number of batches; a reader
+    has that many batches' time.  Commit every batch, changed or not, so that a version never meets its own
+    predecessor's folder.  State holds current values only, a few rows per path, so a full copy is cheap.
     """
 
-    def __init__(self, spark: SparkSession, root: str, keep: int = 32):
-        self.spark, self.root, self.log, self.keep = spark, root, f"{root}/committed", keep
+    def __init__(self, spark: SparkSession, root: str, keep: int = 32, run: str = "none"):
+        self.spark, self.root, self.log, self.keep, self.run = spark, root, f"{root}/committed", keep, run
         # A hidden marker makes the log's folder exist without counting as an entry.
         spark.createDataFrame([], "marker int").write.mode("ignore").parquet(f"{self.log}/_created")
 
-    def version(self, before: int | None = None) -> int | None:
-        log = self.spark.read.schema("version bigint").option("ignoreMissingFiles", "true").parquet(self.log)
+    def entries(self) -> DataFrame:
+        return (self.spark.read.schema("number bigint, run string, version bigint").option("ignoreMissingFiles", "true")
+                .parquet(self.log))
+
+    def newest(self, before: int | None = None) -> tuple[int, str, int] | None:
+        """Number, run and batch of the newest version, leaving out this run's from ``before`` on."""
+        log = self.entries()
         if before is not None:
-            log = log.where(F.col("version") < before)
-        return log.agg(F.max("version")).first()[0]
+            log = log.where((F.col("run") != self.run) | (F.col("version") < before))
+        found = log.agg(F.max(F.struct("number", "run", "version")).alias("top")).first().top
+        return tuple(found) if found else None
+
+    def version(self, before: int | None = None) -> int | None:
+        found = self.newest(before)
+        return found[2] if found else None
 
     def read(self, before: int | None = None) -> DataFrame:
-        """The newest state, or the newest one from before a batch; empty if there is none."""
-        version = self.version(before)
-        if version is None:
+        """The newest state, or the one that batch ``before`` of this run starts from; empty if there is none."""
+        found = self.newest(before)
+        if found is None:
             return self.spark.createDataFrame([], STATE)
-        return self.spark.read.schema(STATE).parquet(f"{self.root}/slot={version % self.keep}")
+        return self.spark.read.schema(STATE).parquet(f"{self.root}/slot={found[0] % self.keep}")
 
     def commit(self, state: DataFrame, version: int) -> None:
-        slot = f"slot={version % self.keep}"
+        own = self.entries().where((F.col("run") == self.run) & (F.col("version") == version)).agg(F.max("number")).first()[0]
+        newest = self.newest()
+        number = own if own is not None else newest[0] + 1 if newest else 0
+        slot = f"slot={number % self.keep}"
         state.write.mode("overwrite").parquet(f"{self.root}/{slot}")
-        logged = self.spark.range(version, version + 1, 1, 1).toDF("version")
-        logged.write.mode("overwrite").parquet(f"{self.log}/{slot}")
+        logged = self.spark.range(1).select(F.lit(number).cast("bigint").alias("number"), F.lit(self.run).alias("run"),
+                                            F.lit(version).cast("bigint").alias("version"))
+        logged.coalesce(1).write.mode("overwrite").parquet(f"{self.log}/{slot}")
