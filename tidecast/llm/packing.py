@@ -30,9 +30,9 @@ SENTENCE_CUT, FORCED_CUT = 16.0, 256.0
 #: Sentence ends are considered once in so many tokens, forced cuts every so many.
 GRAIN, STRIDE = 32, 512
 #: Tokens packed in one run of the program, and words whose ids a task remembers.
-RUN, REMEMBERED = 1 << 20, 1_500_000
+RUN, REMEMBERED = 1 << 20, 600_000
 #: A special token that splits any text, and the texts tokenised at once.
-BETWEEN, TOGETHER = "<|endoftext|>", 256
+BETWEEN, TOGETHER = "<|endoftext|>", 128
 PIECES = ("doc_id {id_type}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 
@@ -60,7 +60,7 @@ class WordIds:
     def learn(self, words: set[str]) -> None:
         """Look words up among those met before; encode what remains, without a closing mark and in small letters."""
         stems = {w: stem_of(w) for w in words.difference(self.before)}
-        new = set(stems.values()).difference(self.known, self.before)
+        new = set(stems.values()).difference(self.known).difference(self.before)
         plain = [w for w in new if "<|" not in w]
         found = {w: self.encode(w).tobytes() for w in new.difference(plain)}
         if plain:
