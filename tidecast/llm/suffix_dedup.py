@@ -143,7 +143,7 @@ def open_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def parts_of(size: int):
     """Cuts each stretch by the place of the anchor in the window, in blocks of ``size``; a part's group is what all windows of its block share."""
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             out = []
             for row in batch.to_pylist():
                 data, lead = row["bytes"], row["lead"]
@@ -210,7 +210,8 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     copies = shared.join(classes.where("copies > 1").drop("copies"), ["gram", "d1", "d2"], "left_semi").unionByName(shared.where("not mixed"))
 
     rows = open_texts(docs, classes).select(F.col("gram").alias("group"), F.lit(512).alias("block"), F.lit(0).alias("low"), "doc", "start", "lead", "copies", "bytes")
-    copies, ready = copies.select("doc", "start", "windows"), []
+    rows = saved(rows, "stretch-texts")
+    copies, ready, size = copies.select("doc", "start", "windows"), [], 512
     for size in BLOCKS:
         rows, equal = divided(rows, size)
         copies = copies.unionByName(equal)
