@@ -28,7 +28,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def saved(df: DataFrame, label: str) -> DataFrame:
     """The rows, written below the shared folder and read back: the lineage ends here and a lost executor costs a re-read."""
     path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
