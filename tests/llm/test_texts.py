@@ -232,3 +232,14 @@ def test_language(spark, docs):
     assert [odd[k].lang_pred for k in (0, 1, 2, 3)] == ["und"] * 4 and odd[6].lang_pred == "x" and odd[0].score == 0
     assert {r.lang_pred for r in language_id.identify(docs, language_id.fit(docs.limit(0))).collect()} == {"und"}
     assert language_id.identify(docs.limit(0), None).count() == 0
+
+
+def test_word_ids_are_the_tokenizers():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(WORD_VOCABULARY)
+    texts = ["", " ", "don't I'll we've 's", "Straße, ÉCOLE!! İstanbul ΣΑΣ ﬁn ǅ ª º x² 12ab a1, it's... Z zZ ZZZ", "éa é",
+             "á!! <|endoftext|>x <|startoftext|> a<| b|>", "\x00Z\x00 a\tb c　d e" + "!" * 5000 + " ab" + "?" * 3000, "日本語 русский µ ſ ŉ Ĳ Ⱥ",
+             "aaaa" * 5000, "Z" * 100, "word, word. WORD$$$ wörd%%%"]
+    found = packing.WordIds(path)(texts)
+    assert [f.tolist() for f in found] == [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]

@@ -14,9 +14,12 @@ input's columns only the key is kept, under the name ``doc_id``.
 
 from __future__ import annotations
 
+import json
 import os
+import string
 from collections import deque
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,28 +32,66 @@ END_ID = 2
 SENTENCE_CUT, FORCED_CUT = 16.0, 256.0
 #: Sentence ends are considered once in so many tokens, forced cuts every so many.
 GRAIN, STRIDE = 32, 512
-#: Tokens packed in one run of the program, and words whose ids a task remembers.
+#: Tokens packed in one run of the program, and words whose ids a worker remembers.
 RUN, REMEMBERED = 1 << 20, 600_000
+#: Marks that may follow a word's letters, how many at most are looked up by themselves, and how many such endings are kept.
+MARKS, LONGEST_MARKS, MARKS_REMEMBERED = string.punctuation, 8, 100_000
+#: Letters below this one are Latin and composed.
+LATIN_END = "\u0250"
 #: A special token that splits any text, and the texts tokenised at once.
 BETWEEN, TOGETHER = "<|endoftext|>", 128
 PIECES = ("doc_id {id_type}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 
+class LetterIds:
+    """Ids of small-letter words by the merges in a tokenizer's file: a pair is merged in the order of the merged token's id.
+
+    That is the file's own order of merges, so ids are those of the tokenizer; ``END`` stands for the mark of a word's end, as
+    small-letter words hold no capitals.
+    """
+
+    END, SUFFIX = "Z", "</w>"
+
+    def __init__(self, path: str) -> None:
+        import tiktoken
+
+        with open(path, encoding="utf-8") as file:
+            vocabulary = json.load(file)["model"]["vocab"]
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that the file writes as themselves
+        byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(sorted(set(range(256)).difference(shown)))}
+        ends = {token: token.endswith(self.SUFFIX) for token in vocabulary}
+        ranks = {bytes(map(byte_of.__getitem__, token.removesuffix(self.SUFFIX))) + self.END.encode() * ends[token]: i for token, i in vocabulary.items()}
+        self.encoding = tiktoken.Encoding("words", pat_str=f"[^{self.END}]+{self.END}", mergeable_ranks=ranks, special_tokens={})
+        self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.is_end[[i for token, i in vocabulary.items() if ends[token]]] = True
+
+    def __call__(self, words: list[str]) -> dict[str, bytes]:
+        if not words:
+            return {}
+        ids = np.array(self.encoding.encode_ordinary(self.END.join(words) + self.END), "<u4")
+        data, begin, out = ids.tobytes(), 0, {}
+        for word, end in zip(words, ((np.flatnonzero(self.is_end[ids]) + 1) * 4).tolist()):
+            out[word] = data[begin:end]
+            begin = end
+        return out
+
+
 class WordIds:
     """Ids of texts, word by word: pre-tokens of this vocabulary never reach across white space, so words are looked up once.
 
-    New words are encoded together, with a special token between them.
+    New words of plain letters, with or without marks behind them, go through ``LetterIds``.  All others are encoded by the
+    tokenizer together, with a special token between them.
     """
 
     def __init__(self, path: str, between: str = BETWEEN) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are the threads
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.between = Tokenizer.from_file(path), between
+        self.tokenizer, self.between, self.letters = Tokenizer.from_file(path), between, LetterIds(path)
         self.split_id = self.tokenizer.token_to_id(between)
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
-        self.closing = {m: self.encode(m).tobytes() for m in ".,"}
+        self.marks: dict[str, bytes] = {"": b""}
         self.is_mark = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         self.is_mark[np.concatenate([self.encode(m) for m in ".!?"])] = True
 
@@ -58,41 +99,55 @@ class WordIds:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def learn(self, words: set[str]) -> None:
-        """Look words up among those met before; encode what remains, without a closing mark and in small letters."""
-        stems = {w: stem_of(w) for w in words.difference(self.before)}
-        new = set(stems.values()).difference(self.known).difference(self.before)
-        plain = [w for w in new if "<|" not in w]
-        found = {w: self.encode(w).tobytes() for w in new.difference(plain)}
-        if plain:
-            ids = self.encode(self.between.join(plain))
+        """Take words from among those met before; encode what remains."""
+        stems, other = {}, []
+        for word in words:
+            if (ids := self.before.get(word)) is not None:
+                self.known[word] = ids
+            elif plain(stem := word.rstrip(MARKS)) and len(word) - len(stem) <= LONGEST_MARKS:
+                stems[word] = stem.lower()
+            else:
+                other.append(word)
+        found = self.letters(list(set(stems.values())))
+        for word, stem in stems.items():
+            closing = word[len(stem):]
+            if closing not in self.marks:
+                if len(self.marks) > MARKS_REMEMBERED:
+                    self.marks = {"": b""}
+                self.marks[closing] = self.encode(closing).tobytes()
+            self.known[word] = found[stem] + self.marks[closing]
+        for word in [w for w in other if "<|" in w]:
+            self.known[word] = self.encode(word).tobytes()
+        if other := [w for w in other if "<|" not in w]:
+            ids = self.encode(self.between.join(other))
             ends = np.append(np.flatnonzero(ids == self.split_id), len(ids))
             data, begin = ids.tobytes(), 0
-            for word, end in zip(plain, (ends * 4).tolist()):
-                found[word] = data[begin:end]
+            for word, end in zip(other, (ends * 4).tolist()):
+                self.known[word] = data[begin:end]
                 begin = end + 4
-        self.known.update(found)
-        for word in words:
-            if (ids := self.before.get(word)) is None:
-                stem = stems[word]
-                ids = self.known[stem] if stem in self.known else self.before[stem]
-                if len(word) > len(stem):
-                    ids += self.closing[word[-1]]
-            self.known[word] = ids
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        words = set().union(*split)
         if len(self.known) > REMEMBERED:
             self.before, self.known = self.known, {}
-        self.learn(words.difference(self.known))
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, own)), "<u4") for own in split]
+        split = [text.replace("\n", " ").split(" ") for text in texts]
+        found = [list(map(self.known.get, own)) for own in split]
+        holes = [[i for i, ids in enumerate(row) if ids is None] for row in found]
+        self.learn({own[i] for own, at in zip(split, holes) for i in at})
+        for own, row, at in zip(split, found, holes):
+            for i in at:
+                row[i] = self.known[own[i]]
+        return [np.frombuffer(b"".join(row), "<u4") for row in found]
+
+
+@cache
+def word_ids(path: str) -> WordIds:
+    """One table of words per Python worker, for all its tasks."""
+    return WordIds(path)
 
 
-def stem_of(word: str) -> str:
-    """The part of a word that has to be encoded: without one closing mark after a letter, as that is a pre-token of its own."""
-    if word[-1:] in ".," and word[-2:-1].isalpha():
-        word = word[:-1]
-    return word.lower() if word.isascii() else word
+def plain(stem: str) -> bool:
+    """Whether a word is one pre-token that only has to be put in small letters: ASCII or Latin letters, already composed."""
+    return stem.isalpha() and (stem.isascii() or stem < LATIN_END and max(stem) < LATIN_END and "\u0130" not in stem)
 
 
 def cut_points(lengths: np.ndarray, ids: np.ndarray, is_mark: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray]:
@@ -153,7 +208,7 @@ def pack(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str =
     ``sequence_id`` is the task's partition in the upper bits and the sequence's number below.
     """
     def work(batches):
-        encode, task = WordIds(tokenizer_path), TaskContext.get().partitionId() << 32
+        encode, task = word_ids(tokenizer_path), TaskContext.get().partitionId() << 32
         made, end = 0, np.array([END_ID], "<u4")
         waiting: list[tuple] = []  # key, ids not yet packed, start of these in the document, length of the document
 
