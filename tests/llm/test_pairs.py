@@ -165,3 +165,21 @@ def test_recall_with_a_small_search(spark):
     got = {(r.query_id, r.vec_id) for r in neighbours.nearest(df, lambda i: i % 100 == 0, search=2500).collect()}
     want = {(q, i) for q, _, i, _ in brute(vectors, 10)}
     assert len(got & want) >= 0.9 * len(want)
+
+
+def test_needed_entries_in_columns(spark):
+    pairs = [(n, m) for n in [*range(1, 60), 99, 100, 101, 5000] for m in [*range(1, 60), 80, 100, 4000, 4001]]
+    got = spark.createDataFrame(pairs, "n long, m long").select("n", "m", ngram_join.needed_column("n", "m").alias("needed")).collect()
+    assert all(r.needed == ngram_join.needed_shared(r.n, r.m) for r in got)
+
+
+def test_bit_tables_never_show_more_differences_than_there_are(spark):
+    draw = np.random.default_rng(5)
+    rows = []
+    for size in (0, 1, 40, 3000):
+        common = draw.integers(-1 << 62, 1 << 62, size)
+        rows.append((*(np.concatenate([common, draw.integers(-1 << 62, 1 << 62, size // 3)]).tolist() for _ in range(2)), 2 * (size // 3)))
+    table = spark.createDataFrame(rows, "x array<long>, y array<long>, differ int")
+    bits = [F.bit_count(ngram_join.parity("x", k).bitwiseXOR(ngram_join.parity("y", k))) for k in range(ngram_join.BIT_LONGS)]
+    got = table.select("differ", sum(bits[1:], bits[0]).alias("seen")).collect()
+    assert all(r.seen <= r.differ for r in got) and got[2].seen >= got[2].differ / 2  # two entries may fall on one bit

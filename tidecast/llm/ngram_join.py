@@ -8,8 +8,8 @@ their union.  The product of the matrix with itself is formed in blocks and only
    is a twentieth of the smaller row.
 2. A column's documents are first multiplied with a few of them alone, in several rounds with other ones each.  That connects
    large groups of near copies by a number of products in proportion to their members.
-3. Then all pairs of a column that are not yet connected are multiplied, each pair once.  Pairs that are connected
-   need no product: the result is components.
+3. Then all pairs of a column that are not yet connected are multiplied: first in bit tables of a fixed size, which bound the overlap from
+   above before a pair becomes a row.  Pairs that are connected need no product: the result is components.
 
 A product is formed over the first entries, and over whole rows only for pairs that share ``k`` of those; a pair whose sizes alone
 rule out a link is dropped before.  Documents with equal rows are one row.  Nothing of a size that grows with the documents is collected or broadcast.
@@ -26,7 +26,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidecast.llm.common import WHITE, byte_view, mix, powers, saved, slices
 from tidecast.llm.components import components
@@ -38,6 +38,8 @@ COUNTERS = 1 << 22
 WORD_BASE, GRAM_BASE = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
 WORD_POWERS = powers(WORD_BASE, 1 << 12)
 SLICE = 1 << 20
+#: Longs of a row's bit table (a power of two), and blocks before a pair's own that are looked at for the same pair.
+BIT_LONGS, EARLIER = 8, 8
 #: Bits flipped to choose the centers of columns, by round.
 SALTS = tuple(tuple(((r * 8 + k) * 0x9E3779B97F4A7C15 + 0x5851F42D4C957F2D) % (1 << 63) - (1 << 62) for k in range(n)) for r, n in enumerate((4, 6, 8)))
 
@@ -224,15 +226,46 @@ def with_centers(first_entries: DataFrame, labels: DataFrame | None, salts: tupl
 
 
 def all_open(first_entries: DataFrame, labels: DataFrame) -> DataFrame:
-    """All pairs ``a, b`` of a column that are not connected."""
+    """Pairs ``a, b`` that are not connected, meet in a column, and by their bit tables may share enough of their first entries.
+
+    Columns with the same smallest row form a block.  A pair of a block is multiplied in bits before it becomes a row: bits that differ
+    are entries only one has, so the overlap is at most half of what both hold less these.  A pair that also meets in one of the
+    ``EARLIER`` blocks before, by their ids, is left to that one.
+    """
     rows = labelled(first_entries, labels)
-    tops = rows.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("id").alias("first")).where("low < high")
-    rows = saved(rows.join(tops.select("gram", "first"), "gram"), "gram-open")
-    home = rows.where("id = first").select("gram", F.col("label").alias("home"))
-    foreign = (rows.join(home, "gram").where("label != home")
-               .select("gram", F.col("id").alias("x"), F.col("n").alias("n_x"), F.col("most").alias("most_x"), F.col("label").alias("label_x")))
-    return (foreign.join(rows, "gram").where((F.col("label") != F.col("label_x")) & may_link("n", "n_x", "most", "most_x"))
-            .select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b")).distinct())
+    tops = rows.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high"),
+                                    F.min(F.struct("id", "label")).alias("block")).where("low < high")
+    blocks = rows.join(tops.select("gram", "block"), "gram").groupBy("id").agg(F.sort_array(F.collect_set("block")).alias("blocks"))
+    known = (first_entries.join(labels, "id", "left")
+             .select("id", "n", "most", F.coalesce("label", "id").alias("label"), F.size("grams").alias("held"),
+                     *[parity("grams", k).alias(f"bits_{k}") for k in range(BIT_LONGS)]))
+    at, earlier = F.col("at"), F.transform("blocks", lambda x: x["id"])
+    members = (known.join(blocks, "id").select("*", F.posexplode("blocks").alias("at", "block"))
+               .withColumn("earlier", F.slice(earlier, F.greatest(at - EARLIER, F.lit(0)) + 1, F.least(at, F.lit(EARLIER))))
+               .select(*known.columns, "earlier", F.col("block.id").alias("block"), F.col("block.label").alias("home")))
+    members = saved(members, "gram-open")
+    foreign = members.where("label != home").drop("home")
+    foreign = foreign.select("block", *[F.col(c).alias(f"{c}_x") for c in foreign.columns if c != "block"])
+    differ = sum((F.bit_count(F.col(f"bits_{k}").bitwiseXOR(F.col(f"bits_{k}_x"))) for k in range(1, BIT_LONGS)),
+                 F.bit_count(F.col("bits_0").bitwiseXOR(F.col("bits_0_x"))))
+    return (foreign.join(members, "block")
+            .where((F.col("label") != F.col("label_x")) & ((F.col("label") == F.col("home")) | (F.col("id_x") < F.col("id")))
+                   & may_link("n", "n_x", "most", "most_x") & (F.col("held") + F.col("held_x") - differ >= 2 * needed_column("n", "n_x"))
+                   & ~F.arrays_overlap("earlier", "earlier_x"))
+            .select(F.least("id", "id_x").alias("a"), F.greatest("id", "id_x").alias("b")).distinct())
+
+
+def parity(grams: str, k: int) -> Column:
+    """The ``k``-th long of a row's bit table: a bit is set where an odd number of entries falls on it."""
+    own = F.filter(grams, lambda g: F.shiftright(g, 6).bitwiseAND(F.lit(BIT_LONGS - 1)) == k)
+    return F.aggregate(own, F.lit(0).cast("long"), lambda bits, g: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), g.bitwiseAND(F.lit(63)).cast("int"))))
+
+
+def needed_column(n: str, m: str) -> Column:
+    """``needed_shared`` of two columns."""
+    least = f"({SHARE_PERCENT} * ({n} + {m}) + {99 + SHARE_PERCENT}) div {100 + SHARE_PERCENT}"
+    rest = [f"(({SHARE_PERCENT} * {x} + 99) div 100 - 1 - {x} div 20)" for x in (n, m)]
+    return F.expr(f"greatest(1 + least({n}, {m}) div 20, {least} - greatest({', '.join(rest)}))")
 
 
 def may_link(n: str, m: str, most_n: str, most_m: str):
