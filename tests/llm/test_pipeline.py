@@ -44,6 +44,21 @@ def test_odd_rows(spark, name, stage):
     assert stage(spark, empty, SF_DIR).count() == 0
 
 
+def test_near_copies_with_null_and_repeated_ids(spark):
+    base, other = ([f"{name}{k}" for k in range(60)] for name in ("w", "v"))
+    near = [" ".join(base[:-1] + [f"end{k}"]) for k in range(6)]
+    far = [" ".join(other[:-1] + [f"end{k}"]) for k in range(3)]
+    rows = [(1, near[0]), (None, near[1]), (None, near[2]), (2, near[3]), (2, "a clean text that shares its id"), (1, near[4]),
+            (None, far[0]), (None, far[1]), (None, None), (None, None), (3, ""), (3, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    first = corpus_pipeline.one_of_each_group(spark, docs, SF_DIR).collect()
+    assert sum(r.text in near for r in first) == 1 and {r.doc_id for r in first if r.text in near} == {1}
+    assert sum(r.text in far for r in first) == 1
+    assert sorted(((r.doc_id, r.text) for r in first if r.text not in near + far), key=str) == [(2, "a clean text that shares its id"), (3, ""), (None, None)]
+    again = corpus_pipeline.one_of_each_group(spark, docs.repartition(5), SF_DIR).collect()
+    assert sorted(first, key=str) == sorted(again, key=str)
+
+
 def test_run(spark):
     rows = corpus_pipeline.run(spark, SF_DIR)
     assert rows.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 4096").count() == 0 and rows.count()
