@@ -6,6 +6,8 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -167,6 +169,20 @@ def test_recall_with_a_small_search(spark):
     assert len(got & want) >= 0.9 * len(want)
 
 
+def test_search_grows_with_the_table(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(150_000, 64)).astype(np.float32)
+    column = pa.ListArray.from_arrays(np.arange(0, vectors.size + 1, 64, dtype=np.int32), vectors.reshape(-1))
+    pq.write_table(pa.table({"vec_id": np.arange(len(vectors)), "embedding": column}), tmp_path / "vectors.parquet", row_group_size=20_000)
+    found = neighbours.nearest(spark.read.parquet(str(tmp_path)), lambda i: i % 10_000 == 0).collect()
+    want = set()
+    for q in range(0, len(vectors), 10_000):
+        far = ((vectors.astype(float) - vectors[q]) ** 2).sum(axis=1)
+        far[q] = np.inf
+        want |= {(q, int(i)) for i in np.argsort(far)[:10]}
+    assert len(found) == len(want) and len({(r.query_id, r.vec_id) for r in found} & want) >= 0.9 * len(want)
+
+
 def test_needed_entries_in_columns(spark):
     pairs = [(n, m) for n in [*range(1, 60), 99, 100, 101, 5000] for m in [*range(1, 60), 80, 100, 4000, 4001]]
     got = spark.createDataFrame(pairs, "n long, m long").select("n", "m", ngram_join.needed_column("n", "m").alias("needed")).collect()

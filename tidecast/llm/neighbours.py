@@ -2,7 +2,9 @@
 
 Each tree halves a bounded sample again and again: a direction between two random sample vectors, cut at the median.  All vectors are
 sent down all trees, so every row is indexed.  A query enters all trees at once: one priority queue holds the branches not
-taken in any tree, nearest cut first, and leaves are opened until they hold ``SEARCH`` vectors.  The vectors of an opened leaf meet the queries that
+taken in any tree, nearest cut first, and leaves are opened until they hold ``SHARE`` of all places (a vector has one in each tree), and
+``SEARCH`` at least.  The search so grows with the table, as does the number of vectors about as near as the tenth.  Trees need not deepen
+with it: the share is met in many leaves of each tree at the greatest depth already.  The vectors of an opened leaf meet the queries that
 opened it in one task, where exact distances rank them; each leaf gives its best and the best of all are kept.
 
 Equal vectors are one entry that carries the smallest ids of its group, as many as can be reported; a leaf that is still large is
@@ -24,8 +26,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tidecast.llm.common import saved
 
-#: Vectors the forest is fitted on, trees, rows aimed at per leaf, candidates a query opens, rows of a leaf that one task takes.
-SAMPLE, TREES, LEAF, SEARCH, BLOCK = 20_000, 8, 200, 32_000, 4096
+#: Vectors the forest is fitted on, trees, rows aimed at per leaf, rows of a leaf that one task takes.
+SAMPLE, TREES, LEAF, BLOCK = 20_000, 8, 200, 4096
+#: Share of all places that a query opens, and places it opens at least.
+SHARE, SEARCH = 0.08, 32_000
 SALT_ROWS = 1 << 16
 #: Random directions of which a node takes the one along which its sample spreads widest.
 DIRECTIONS = 16
@@ -64,7 +68,7 @@ class Forest:
             out[t] = node - (2 ** self.depth - 1)
         return out
 
-    def open(self, q: np.ndarray, counts: np.ndarray, search: int = SEARCH) -> list[tuple[int, int]]:
+    def open(self, q: np.ndarray, counts: np.ndarray, search: int) -> list[tuple[int, int]]:
         """Leaves to open for one vector, from all trees by one queue."""
         margins = np.einsum("tnd,d->tn", self.cuts, q) - self.levels
         inner, queue, out, held = 2 ** self.depth - 1, [(0.0, t, 0) for t in range(len(self.cuts))], [], 0
@@ -80,6 +84,11 @@ class Forest:
         return out
 
 
+def places_to_open(entries: int) -> int:
+    """Places a query opens in a forest of so many different vectors."""
+    return max(SEARCH, int(np.ceil(SHARE * entries * TREES)))
+
+
 def matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy().astype(np.float64).reshape(len(column), -1)
 
@@ -92,8 +101,11 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return rows.where(F.size("vec") == (usual[0].dim if usual else 0))
 
 
-def nearest(vectors: DataFrame, is_query, key: str = "vec_id", vector: str = "embedding", k: int = 10, search: int = SEARCH) -> DataFrame:
-    """``query_id, rank, vec_id, score`` (Euclidean distance): the ``k`` nearest found of each row for which ``is_query(id)`` holds."""
+def nearest(vectors: DataFrame, is_query, key: str = "vec_id", vector: str = "embedding", k: int = 10, search: int | None = None) -> DataFrame:
+    """``query_id, rank, vec_id, score`` (Euclidean distance): the ``k`` nearest found of each row for which ``is_query(id)`` holds.
+
+    ``search`` replaces the number of places a query opens.
+    """
     spark = vectors.sparkSession
     rows = usable(vectors, key, vector).withColumn("rep", F.xxhash64("vec"))
     salts = max(1, rows.count() // SALT_ROWS)
@@ -103,6 +115,7 @@ def nearest(vectors: DataFrame, is_query, key: str = "vec_id", vector: str = "em
                .groupBy("rep", "vec").agg(smallest(F.flatten(F.collect_list("ids"))).alias("ids"), F.max("asks").alias("asks")))
     entries = saved(entries, "vectors")
     n = entries.count()
+    search = places_to_open(n) if search is None else search
     sample = entries.orderBy(F.xxhash64("rep")).limit(SAMPLE).select("vec").toPandas()["vec"]
     forest = Forest(np.stack([np.asarray(v, np.float64) for v in sample]) if len(sample) else np.zeros((0, 1)), n)
     shared = spark.sparkContext.broadcast(forest)  # a fixed number of trees of at most SAMPLE / 8 leaves
