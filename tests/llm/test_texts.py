@@ -201,6 +201,19 @@ def test_quality(spark, docs):
     assert quality.fit(docs.limit(0), docs.limit(0), label="score") is None
 
 
+def test_quality_of_long_texts_that_differ_late(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(3000)]
+    same = " ".join(words[:1200])[:8192]
+    late = {1: words[1200:2100], 0: words[2100:]}
+    rows = [(k, k % 2, same + " ".join(rng.choices(late[k % 2], k=1500))) for k in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, quality int, text string")
+    model = quality.fit(docs.select("doc_id", "text"), docs.select("doc_id", "quality"), label="quality")
+    fresh = spark.createDataFrame([(k, " ".join(rng.choices(late[k % 2], k=300))) for k in range(20)], "doc_id long, text string")
+    assert all(r.predicted == r.doc_id % 2 for r in quality.score(fresh, model).collect())
+    assert len(quality.pieces(b"x" * 10**6, -1)) == 8192 and quality.pieces(b"short", 3) == b"short"
+
+
 def test_token_counts(docs):
     path = public_tokenizers.path(PIECE_VOCABULARY)
     pieces = token_counts.unigram(path)

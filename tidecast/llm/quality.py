@@ -1,6 +1,7 @@
 """Quality scores from compression.
 
-Two zstandard dictionaries are built from bounded samples of good and of bad labelled texts.  A text is compressed with
+Two zstandard dictionaries are built from bounded samples of good and of bad labelled texts: of a text up to 8 KB all bytes, of
+a longer one eight pieces of 1 KB, one from each eighth of the text at a place a hash chooses.  A text is compressed with
 either; by how much smaller the good dictionary makes it, relative to its compressed size, is its margin.  Texts are
 compressed piece by piece, so that a dictionary matters throughout a long text.  A logistic curve fitted on other
 labelled rows than those in the dictionaries turns the margin into a score between 0 and 1.
@@ -16,17 +17,26 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from tidecast.llm.common import byte_view, with_columns
+from tidecast.llm.common import byte_view, mix, with_columns
 
-#: Labelled texts of each kind in the sample, bytes of each text that may enter a dictionary, and a dictionary's size.
-SAMPLE, SAMPLE_BYTES, DICTIONARY = 1500, 8192, 112_640
+#: Labelled texts of each kind in the sample, pieces of each text that may enter a dictionary and their bytes, and a dictionary's size.
+SAMPLE, SAMPLE_PIECES, SAMPLE_BYTES, DICTIONARY = 1500, 8, 1024, 112_640
 PIECE, LEVEL = 512, 3
 STEPS = 500
 
 
+def pieces(text: bytes, seed: int) -> bytes:
+    """What of a text may enter a dictionary: all of it, or a piece from each of ``SAMPLE_PIECES`` equal stretches."""
+    if len(text) <= SAMPLE_PIECES * SAMPLE_BYTES:
+        return text
+    ends = np.arange(SAMPLE_PIECES + 1, dtype=np.uint64) * np.uint64(len(text)) // np.uint64(SAMPLE_PIECES)
+    at = ends[:-1] + mix(np.arange(SAMPLE_PIECES, dtype=np.uint64) + np.uint64(seed % 2**63)) % (np.diff(ends) - np.uint64(SAMPLE_BYTES - 1))
+    return b"".join(text[i:i + SAMPLE_BYTES] for i in at.tolist())
+
+
 def dictionary(texts: list[bytes]) -> bytes:
-    """A dictionary of the texts; few or tiny texts are used as they are."""
-    parts = [t[i:i + 1024] for t in texts for i in range(0, min(len(t), SAMPLE_BYTES), 1024)]
+    """A dictionary of the pieces of texts; few or tiny texts are used as they are."""
+    parts = [t[i:i + SAMPLE_BYTES] for t in texts for i in range(0, len(t), SAMPLE_BYTES)]
     try:
         return zstandard.train_dictionary(DICTIONARY, parts).as_bytes()
     except zstandard.ZstdError:
@@ -85,7 +95,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     chosen = F.broadcast(chosen.orderBy(F.xxhash64("key")).limit(4 * sample))  # bounded by the parameter
     taken = (docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.length("text") > 0).join(chosen, "key")
              .select("label", "half", "text", F.col("key").alias("order")))
-    built = taken.where("half = 0").select("label", "order", F.expr(f"substring(cast(text as binary), 1, {SAMPLE_BYTES})").alias("bytes")).collect()
+    built = with_columns(taken.where("half = 0").select("label", "order", "text", F.xxhash64("order", F.lit("pieces")).alias("seed")), "bytes binary",
+                         lambda c: [pa.array([pieces(t.encode(), s) for t, s in zip(c[0].to_pylist(), c[1].to_pylist())], pa.binary())],
+                         ["text", "seed"]).select("label", "order", "bytes").collect()
     built.sort(key=lambda r: (r.order is None, r.order, bytes(r.bytes)))
     good, bad = (dictionary([bytes(r.bytes) for r in built if r.label == k]) for k in (1, 0))
     measured = with_columns(taken.where("half = 1").select("label", "text"), "margin double",
