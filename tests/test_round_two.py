@@ -149,3 +149,12 @@ def test_dedup(spark, tmp_path):
     stream = dedup_posts(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")))
     stream.writeStream.trigger(availableNow=True).format("parquet").option("checkpointLocation", str(tmp_path / "c")).start(str(tmp_path / "out")).awaitTermination()
     assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["1", "2"]
+
+
+def test_dedup_keeps_posts_without_an_id_on_a_stream(spark, tmp_path):
+    rows = [("1", "a", "2024-01-01 00:00:00"), ("1", "a", "2024-01-01 00:00:00"), (None, "b", "2024-01-01 00:01:00"), (None, "c", "2024-01-01 00:01:00"), (None, "d", None)]
+    df = spark.createDataFrame(rows, "id string, text string, at string").withColumn("created_ts", F.to_timestamp("at"))
+    df.write.parquet(str(tmp_path / "in"))
+    stream = dedup_posts(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")))
+    stream.writeStream.trigger(availableNow=True).format("parquet").option("checkpointLocation", str(tmp_path / "c")).start(str(tmp_path / "out")).awaitTermination()
+    assert sorted(r.text for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b", "c", "d"]

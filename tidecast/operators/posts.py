@@ -122,10 +122,11 @@ def normalize_posts(messages: DataFrame, keywords: Sequence[str]) -> DataFrame:
 
 
 def dedup_posts(posts: DataFrame, key: str = "id", event_time: str = "created_ts", lateness: str = "15 minutes") -> DataFrame:
-    """Each post once, however often it was fetched; posts without a key stay apart in a batch.
+    """Each post once, however often it was fetched; posts without a key stay apart.
 
     A stream forgets a key ``lateness`` after its time, which covers the window that fetches overlap in.
     """
+    keyed, loose = posts.where(F.col(key).isNotNull()), posts.where(F.col(key).isNull())
     if posts.isStreaming:
-        return posts.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark([key])
-    return posts.where(F.col(key).isNotNull()).dropDuplicates([key]).unionByName(posts.where(F.col(key).isNull()))
+        return keyed.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark([key]).unionByName(loose)
+    return keyed.dropDuplicates([key]).unionByName(loose)
