@@ -30,3 +30,9 @@ def workspace_root(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path below the workspace; nothing is created yet."""
     return f"{workspace_root(spark)}/tidecast/{label}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a derived folder from the shared store; only one that no plan still to run reads."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
