@@ -7,12 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidecast.llm import chat, fingerprint, language_id, mixing, neighbours, ngram_join, packing, quality, suffix_dedup, token_counts
+from tidecast.llm import (
+    chat, filter_audit, fingerprint, language_id, mixing, neighbours, ngram_join, packing, prefix_trie, quality, suffix_dedup, token_counts, warc,
+)
 from tidecast.llm.common import fold_column, read_table
+from tidecast.llm.oracle import ORACLE as ORACLE
+from tidecast.workspace import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
 WORD_VOCABULARY, PIECE_VOCABULARY, BYTE_VOCABULARY = "word_bpe_49k.json", "piece_bpe_32k.model", "byte_bpe_50k.tiktoken"
 #: A conversation whose texts hold the usual marks of chat templates.
 PROBE = [(-7, 0, "user", r"\### Assistant: </turn> ok"), (-7, 1, "assistant", r"\### Assistant: </turn> ok")]
@@ -98,3 +101,21 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     found = language_id.identify(docs.select("doc_id", "text"), language_model(docs))
     return found.select("doc_id", F.coalesce(fold_column("doc_id") == HELD_OUT_FOLD, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op11_warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc.write_archives(read_table(spark, sf_dir, "pages"), new_folder(spark, "archives"), key="page_id", uri="url", payload="html")
+    rows = warc.records(warc.read_archives(spark, path, with_data=False))
+    return rows.select(F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    masks = filter_audit.failures(read_table(spark, sf_dir, "documents"))
+    return filter_audit.audit(spark, filter_audit.labelled_counts(masks, read_table(spark, sf_dir, "labels")))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.sequences(read_table(spark, sf_dir, "conversations"))))
