@@ -94,7 +94,7 @@ def decisions(chunks: DataFrame, key_type: str, least_bytes: int) -> DataFrame:
     heads = chunks.where("last").select("record", "uri", "key", "bytes", "sha1", "sha256")
     place = F.struct(F.col("key").isNull().alias("none"), F.col("key").cast(key_type).alias("order"), "record", "key")
     groups = heads.where(F.col("bytes") >= least_bytes).groupBy("sha256", "bytes").agg(F.min(place).alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    groups = groups.select("sha256", "bytes", F.col("least.record").alias("first"), F.col("least.key").alias("first_key"))
+    groups = saved(groups.select("sha256", "bytes", F.col("least.record").alias("first"), F.col("least.key").alias("first_key")), "copies")  # an aggregate below it would keep the join from being split
     again = F.col("first") != F.col("record")
     return heads.join(groups, ["sha256", "bytes"], "left").select("record", "uri", "key", "bytes", "sha1", F.when(again, F.col("first")).alias("first"),
                                                                   F.when(again, F.col("first_key")).alias("first_key"))
