@@ -359,6 +359,9 @@ oracle("recent_tweets", """
 oracle("sink_tweets", """
     SELECT t.id, t.text, t.created_at, t.lang, t.source, s.positive, s.neutral, s.negative, s.compound
     FROM tweets t JOIN sentiment s ON t.id = s.id""", "tweets", "sentiment")
+ORACLE["sink_tweets_once"] = ORACLE["sink_tweets"]
+
+
 oracle("sink_viewership", spread(), "viewership", "regional", "platform")
 oracle("sink_ads_raw", """
     SELECT a.timestamp, a.type, a.impressions, a.clicks, a.cost,

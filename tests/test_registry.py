@@ -55,3 +55,16 @@ def test_no_cross_joins_and_no_row_python(spark, name):
     text = plan(spark, name)
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text and "BatchEvalPython" not in text
     assert "Window [" not in text
+
+
+@pytest.mark.parametrize("name", ["viewership_history", "sentiment_history", "ads_history", "export_viewership", "export_sentiment", "export_ads", "export_all"])
+def test_history_is_pruned(spark, name):
+    """Every scan of a table is limited to dates, and opens few of its folders."""
+    df = QUERIES[name](spark, SF_DIR)
+    scans = [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan parquet" in line]
+    assert scans and all("PartitionFilters: [isnotnull(event_date" in line for line in scans)
+    assert len(df.inputFiles()) <= 12
+
+
+def test_posts_once(spark):
+    assert QUERIES["sink_tweets_once"](spark, SF_DIR).count() == QUERIES["sink_tweets"](spark, SF_DIR).count()

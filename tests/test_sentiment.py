@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidecast.functions.sentiment import (
-    classifier_column, classifier_score, collect_words, combine_sentiment, inline_lexicon, lexicon_sentiment,
+    WordFilter, classifier_column, classifier_score, collect_words, combine_sentiment, inline_lexicon, lexicon_sentiment,
     lexicon_sentiment_joined, score_sentiment,
 )
 
@@ -134,3 +134,25 @@ def test_stop_list_has_a_bound(spark):
     assert collect_words(stops) == ["a", "b"]
     with pytest.raises(ValueError):
         collect_words(spark.range(20).selectExpr("cast(id as string) token"), 10)
+
+
+def test_joined_lexicon_ships_no_texts(spark, lexicon, tmp_path):
+    """Below the last join an exchange carries names, words and numbers only; words outside the lexicon do not reach one."""
+    rows = [("good good day " + "filler " * 50 + str(k % 3),) for k in range(300)] + [(None,), ("",), ("nothing here",)]
+    spark.createDataFrame(rows, "t string").write.parquet(str(tmp_path / "t"))
+    scored = lexicon_sentiment_joined(spark.read.parquet(str(tmp_path / "t")), "t", lexicon, ["the"]).select("n_words", "pos", "compound")
+    scored.collect()
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert exchanges and not any("t#" in line.split("Exchange")[1].split("[plan_id")[0].replace("count#", "").replace("bit#", "") for line in exchanges)
+    assert "first(" not in plan
+    inline = lexicon_sentiment(spark.read.parquet(str(tmp_path / "t")), "t", inline_lexicon(lexicon, ["the"])).select("n_words", "pos", "compound")
+    assert sorted(scored.collect()) == sorted(inline.collect())
+
+
+def test_word_filter_holds_the_whole_lexicon(spark):
+    words = spark.range(20_000).select(F.concat(F.lit("w"), "id").alias("token"))
+    may_hold = WordFilter(words).may_hold
+    assert words.where(~may_hold(F.col("token"))).count() == 0
+    others = spark.range(20_000).select(F.concat(F.lit("x"), "id").alias("token"))
+    assert others.where(may_hold(F.col("token"))).count() < 100

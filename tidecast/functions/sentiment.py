@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -28,8 +29,10 @@ CLASSIFIER_SHARE = 0.3
 COMPOUND_ALPHA = 15.0
 POSITIVE_LABEL = "POSITIVE"
 
-# Up to this many entries the lexicon travels inside the plan; a larger one is joined instead.
+# Up to this many entries the lexicon may travel inside the plan; `inline_lexicon` refuses more.
 MAX_INLINE_ENTRIES = 50_000
+# A joined lexicon's filter: half a million words at some one in a hundred false answers.
+FILTER_BITS, FILTER_HASHES = 1 << 22, 3
 # Stands for a stop word; no valence comes near it.
 STOP = -(2 ** 62)
 
@@ -191,31 +194,60 @@ def lexicon_sentiment(df: DataFrame, text_col: str, lexicon: InlineLexicon) -> D
     return counted.select(*df.columns, "n_words", *polarity(F.col("_sums"), F.col("n_words")).values())
 
 
+class WordFilter:
+    """A Bloom filter of a lexicon's words, in the plan: a word it does not hold has no valence.
+
+    Its bits are an array of whole numbers of a fixed length, so the plan does not grow with the lexicon; one with more words than `FILTER_BITS`
+    allows for lets more words through, which only costs.
+    """
+
+    def __init__(self, lexicon: DataFrame) -> None:
+        places = F.explode(F.array(*self._places(F.col("token"))))
+        words = lexicon.select(places.alias("at")).groupBy(F.expr("at div 64").alias("word")).agg(
+            F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("bits"))
+        table = [0] * (FILTER_BITS // 64)
+        for row in words.collect():  # at most FILTER_BITS / 64 rows
+            table[row.word] = row.bits
+        self.bits = F.from_json(F.lit(json.dumps(table, separators=(",", ":"))), "array<bigint>")
+
+    @staticmethod
+    def _places(token: Column) -> list[Column]:
+        return [F.pmod(F.xxhash64(token, F.lit(k)), F.lit(FILTER_BITS)) for k in range(FILTER_HASHES)]
+
+    def may_hold(self, token: Column) -> Column:
+        tests = [F.getbit(F.get(self.bits, F.shiftright(at, 6).cast("int")), (at % 64).cast("int")) == 1 for at in self._places(token)]
+        return reduce(lambda a, b: a & b, tests)
+
+
 def lexicon_sentiment_joined(df: DataFrame, text_col: str, lexicon: DataFrame,
                              stop_words: Sequence[str] = ()) -> DataFrame:
     """The same scores for a lexicon too large for the plan, by joins; batch only.
 
-    Equal texts are scored once, so copies do not multiply the exploded words, and words are counted per text
-    before they meet the lexicon.  Frequent words, and texts with many copies, are spread in the joins.
+    Texts stay where they are: a text is named by 128 bits of its hash, and what is shuffled is (name, word, number) for the words that a Bloom filter of the
+    lexicon lets through, counted within each task first.  Copies of a text are added up with it and divided out again by their number, which is the
+    number of first words.  A text without such a word goes along as a word of its own.  Adaptive execution splits the joins of frequent words, and of texts
+    with many copies.
     """
-    keyed = df.withColumn("_key", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
-    texts = keyed.groupBy("_key").agg(F.first(text_col).alias("_text"))
-    counted = (
-        texts.select("_key", F.explode(tokens(strip_markup(F.col("_text")), stop_words)).alias("token"))
-        .groupBy("_key", "token").agg(F.count("*").alias("n"))
-    )
+    words = lexicon_micros(lexicon)
+    may_hold = WordFilter(words).may_hold
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keyed = df.withColumn("_key", F.substring(F.unhex(F.sha2(text, 256)), F.lit(1), F.lit(16)))
+    split = keyed.select("_key", tokens(strip_markup(F.col(text_col)), stop_words).alias("_words"))
+    split = split.select("_key", F.size("_words").alias("n_words"), F.posexplode_outer(F.filter("_words", may_hold)).alias("_at", "token"))
+    counted = split.groupBy("_key", F.coalesce("token", F.concat(F.lit("\0"), F.hex("_key"))).alias("token")).agg(
+        F.count("token").alias("n"), F.count_if(F.coalesce("_at", F.lit(0)) == 0).alias("first"), F.max("n_words").alias("n_words"))
     v, n = F.col("micros"), F.col("n")
-    total = lambda value: F.coalesce(F.sum(value), F.lit(0))
-    sums = lookup_join(counted, lexicon_micros(lexicon), "token").groupBy("_key").agg(
-        F.sum(n).alias("n_words"),
-        F.struct(
-            total(F.when(v > 0, (v + MICROS) * n)).alias("gain"),
-            total(F.when(v < 0, (MICROS - v) * n)).alias("loss"),
-            total(v * n).alias("net"),
-            total(F.when(v != 0, n)).alias("hits"),
-        ).alias("_sums"),
+
+    def of_one(value: Column) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0))
+
+    sums = lookup_join(counted, words, "token").groupBy("_key").agg(
+        F.sum("first").alias("copies"), F.max("n_words").cast("bigint").alias("n_words"),
+        of_one(F.when(v > 0, (v + MICROS) * n)).alias("gain"), of_one(F.when(v < 0, (MICROS - v) * n)).alias("loss"),
+        of_one(v * n).alias("net"), of_one(F.when(v != 0, n)).alias("hits"),
     )
-    scored = lookup_join(keyed, sums, "_key").withColumn("n_words", F.coalesce("n_words", F.lit(0)))
+    sums = sums.select("_key", "n_words", F.struct(*[F.expr(f"{c} div copies").alias(c) for c in ("gain", "loss", "net", "hits")]).alias("_sums"))
+    scored = lookup_join(keyed, sums, "_key")
     return scored.select(*df.columns, "n_words", *polarity(F.col("_sums"), F.col("n_words")).values())
 
 

@@ -43,6 +43,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 NOW = {"availableNow": True}
+#: The feeds hold a few messages a day, so a folder of a table holds a month.
+PERIOD = "month"
 HISTORY_HOURS = 24 * 30
 REPORT_HOURS = 24
 SCORES = ["positive", "neutral", "negative", "compound"]
@@ -100,16 +102,23 @@ def layout(spark: SparkSession, sf_dir: str) -> jobs.Layout:
     """Tables and state, after the streaming jobs have processed all feeds; run once per session."""
     def run(folder: str) -> None:
         topics = {name: feed_stream(spark, sf_dir, name) for name in ("posts", "viewership", "ads")}
-        jobs.run_available(spark, topics, score(spark, sf_dir), jobs.Layout(folder))
-    return jobs.Layout(feeds.derived(spark, sf_dir, "jobs", run))
+        jobs.run_available(spark, topics, score(spark, sf_dir), jobs.Layout(folder, PERIOD))
+    return jobs.Layout(feeds.derived(spark, sf_dir, "jobs", run), PERIOD)
 
 
 def stored(spark, sf_dir, name):
-    return read_batches(spark, layout(spark, sf_dir).table(name))
+    return layout(spark, sf_dir).events(spark, name).read()
+
+
+def stored_since(spark, sf_dir, name, hours):
+    """The last hours of a table, and its newest time: only the folders that can hold them are opened."""
+    table = layout(spark, sf_dir).events(spark, name)
+    newest = table.newest()
+    return table.read(newest - timedelta(hours=hours)), newest
 
 
 def stored_posts(spark, sf_dir):
-    return spark.read.parquet(layout(spark, sf_dir).table("posts"))
+    return stored(spark, sf_dir, "posts")
 
 
 def stored_state(spark, sf_dir, path):
@@ -567,6 +576,15 @@ def sink_tweets(spark, sf_dir):
     return spread_sentiment(stored_posts(spark, sf_dir), "id", "text", "created_at", "lang", "source")
 
 
+@query("sink_tweets_once")
+def sink_tweets_once(spark, sf_dir):
+    """The posts job over a topic that holds every post twice, with repeats dropped on arrival."""
+    twice = feed_stream(spark, sf_dir, "posts").unionByName(feed_stream(spark, sf_dir, "posts"))
+    own = jobs.Layout(new_folder(spark, "posts-once"), PERIOD)
+    jobs.start_posts(twice, score(spark, sf_dir), own, NOW, once_within="15 minutes").awaitTermination()
+    return spread_sentiment(own.events(spark, "posts").read(), "id", "text", "created_at", "lang", "source")
+
+
 @query("sink_sentiment")
 def sink_sentiment(spark, sf_dir):
     return widened(stored(spark, sf_dir, "sentiment_windows")).withColumns(rounded(*AVERAGES))
@@ -718,21 +736,18 @@ def collection_delete_one(spark, sf_dir):
 
 @query("viewership_history")
 def viewership_history(spark, sf_dir):
-    regional = stored(spark, sf_dir, "regional_viewership")
-    return widened(history.viewership_history(regional, history.newest_time(regional, "event_ts"), HISTORY_HOURS))
+    return widened(history.viewership_history(*stored_since(spark, sf_dir, "regional_viewership", HISTORY_HOURS), HISTORY_HOURS))
 
 
 @query("sentiment_history")
 def sentiment_history(spark, sf_dir):
-    windows = stored(spark, sf_dir, "sentiment_windows")
-    rows = history.sentiment_history(windows, history.newest_time(windows, "window_end"), HISTORY_HOURS)
+    rows = history.sentiment_history(*stored_since(spark, sf_dir, "sentiment_windows", HISTORY_HOURS), HISTORY_HOURS)
     return rows.withColumns(rounded(*SCORES))
 
 
 @query("ads_history")
 def ads_history(spark, sf_dir):
-    ads = stored(spark, sf_dir, "ad_performance")
-    return widened(history.ads_history(ads, history.newest_time(ads, "event_ts"), HISTORY_HOURS))
+    return widened(history.ads_history(*stored_since(spark, sf_dir, "ad_performance", HISTORY_HOURS), HISTORY_HOURS))
 
 
 EXPORT_FIELDS = {
@@ -744,14 +759,11 @@ EXPORT_FIELDS = {
 
 def exported(spark, sf_dir, data_type):
     """The export's JSON payloads, read back field by field.  Each section ends at its own newest time."""
-    source = {"viewership": ("regional_viewership", "event_ts"), "sentiment": ("sentiment_windows", "window_end"),
-              "ads": ("ad_performance", "event_ts")}
-    tables = {name: stored(spark, sf_dir, table) for name, (table, _) in source.items()}
     rows = None
-    for name, (_, ts_col) in source.items():
+    for name, table in {"viewership": "regional_viewership", "sentiment": "sentiment_windows", "ads": "ad_performance"}.items():
         if data_type in ("all", name):
-            asof = history.newest_time(tables[name], ts_col)
-            part = history.export_rows(history.export(tables, asof, name, REPORT_HOURS))
+            recent, asof = stored_since(spark, sf_dir, table, REPORT_HOURS)
+            part = history.export_rows(history.export({name: recent}, asof, name, REPORT_HOURS))
             rows = part if rows is None else rows.unionByName(part)
     payload = F.from_json("payload_json", ", ".join(f"{k} {v}" for k, v in EXPORT_FIELDS.items()))
     spread = rows.select("section", "timestamp", payload.alias("p")).select("section", "timestamp", "p.*")

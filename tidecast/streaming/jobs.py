@@ -1,8 +1,7 @@
 """The streaming jobs: one pass over each topic, with checkpoints.
 
-Posts are parsed and scored once into a table that the window jobs stream from; that table is written by the
-built-in file sink, whose log makes it exactly-once for readers.  The other two topics fan out inside
-``foreachBatch``.
+Every topic is read and decoded once and fans out inside ``foreachBatch`` to tables with a log (`tables.py`), which hold each batch once.  The window
+jobs stream from the table of scored posts.
 """
 
 from __future__ import annotations
@@ -10,16 +9,18 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidecast.operators.flatten import ads_flat, platform_viewership, regional_ads, regional_viewership
 from tidecast.operators.latest import latest_ads, latest_sentiment, latest_viewership
 from tidecast.operators.state import children, keyed_children, state_set, state_update
 from tidecast.schemas import ADS, POST, SCORED_POST, VIEWERSHIP
-from tidecast.sources.messages import decode, parse_posts, parsed_rows, parse_rejects, rejected_rows
-from tidecast.streaming.sinks import BatchWriter, StateTable, batch_writer, fan_out, run_of
+from tidecast.sources.messages import decode, parsed_rows, rejected_rows
+from tidecast.streaming.sinks import BatchWriter, StateTable, fan_out, run_of
+from tidecast.streaming.tables import EventTable
 from tidecast.streaming.windows import flat_windows, sentiment_windows
+from tidecast.workspace import has_files
 
 SENTIMENT_FIELDS = ["timestamp", "positive", "neutral", "negative", "compound"]
 VIEWERSHIP_FIELDS = ["timestamp", "total_viewers", "regional_data", "platform_data"]
@@ -28,15 +29,26 @@ AD_FIELDS = ["type", "impressions", "clicks", "ctr", "cost", "conversions", "cos
 Score = Callable[[DataFrame], DataFrame]
 
 
+#: Event time of each table; tables of rejects have none.
+TIMES = {
+    "posts": "created_ts", "sentiment_windows": "window_end", "viewership": "event_ts", "regional_viewership": "event_ts",
+    "platform_viewership": "event_ts", "ads": "event_ts", "ad_performance": "event_ts", "regional_ads": "event_ts",
+}
+
+
 @dataclass(frozen=True)
 class Layout:
-    """Where tables, state and checkpoints live, below one shared folder."""
+    """Where tables, state and checkpoints live, below one shared folder.  ``period``: of event time, for a folder of a table."""
 
     root: str
+    period: str = "day"
 
     def table(self, name: str) -> str:
         return f"{self.root}/tables/{name}"
 
+    def events(self, spark: SparkSession, name: str) -> EventTable:
+        return EventTable(spark, self.table(name), TIMES.get(name), SCORED_POST if name == "posts" else None, self.period)
+
     def state(self, path: str) -> str:
         return f"{self.root}/state/{path}"
 
@@ -44,54 +56,58 @@ class Layout:
         return f"{self.root}/checkpoints/{job}"
 
 
-def _start(rows: DataFrame, layout: Layout, job: str, trigger: dict, write: BatchWriter | None = None,
-           mode: str = "append") -> StreamingQuery:
-    """Start a query; without ``write`` its rows go to the table named like the job."""
+def _start(rows: DataFrame, layout: Layout, job: str, trigger: dict, write: BatchWriter, mode: str = "append") -> StreamingQuery:
     writer = rows.writeStream.queryName(job).outputMode(mode).trigger(**trigger) \
         .option("checkpointLocation", layout.checkpoint(job))
-    if write is None:
-        return writer.format("parquet").option("path", layout.table(job)).start()
     return writer.foreachBatch(write).start()
 
 
-def start_posts(messages: DataFrame, score: Score, layout: Layout, trigger: dict) -> StreamingQuery:
-    """Parsed and scored posts to the ``posts`` table.  ``score`` adds the ``sentiment`` column.
+def start_posts(messages: DataFrame, score: Score, layout: Layout, trigger: dict, once_within: str | None = None) -> StreamingQuery:
+    """One pass over the topic: parsed and scored posts to ``posts``, unreadable messages to ``post_rejects``.  ``score`` adds the ``sentiment`` column.
 
-    The table's log skips batch numbers it has.  A new checkpoint would start from 0 and lose its first posts in silence, so it
-    is refused: move the table away with its old checkpoint.
+    ``once_within`` (a duration) drops a post whose id was seen in that time, counted from its arrival; see `first_arrivals`.  A new checkpoint would
+    read the topic again into the same table and count its posts twice, so it is refused: move the table away with its old checkpoint.
     """
+    columns = [f.name for f in SCORED_POST.fields]
     spark = messages.sparkSession
-    if has_files(spark, layout.table("posts") + "/_spark_metadata") and not has_files(spark, layout.checkpoint("posts") + "/commits"):
+    if has_files(spark, layout.table("posts") + "/_log") and not has_files(spark, layout.checkpoint("posts") + "/offsets"):
         raise ValueError("the posts table was written under another checkpoint")
-    columns = [f.name for f in SCORED_POST.fields]
-    return _start(score(parse_posts(messages)).select(*columns), layout, "posts", trigger)
 
+    def posts(decoded: DataFrame) -> DataFrame:
+        return score(parsed_rows(decoded, POST, "created_at", "created_ts")).select(*columns)
 
-def has_files(spark: SparkSession, path: str) -> bool:
-    """Whether a folder of the shared store has entries."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    return store.exists(folder) and len(store.listStatus(folder)) > 0
+    writers = [
+        layout.events(spark, "posts").writer(posts),
+        layout.events(spark, "post_rejects").writer(lambda d: rejected_rows(d, POST, "created_at")),
+    ]
+    if once_within:
+        return _start(first_arrivals(decode(messages, POST), F.col("data.id"), once_within), layout, "posts", trigger, fan_out(lambda b: b, writers))
+    return _start(messages, layout, "posts", trigger, fan_out(lambda batch: decode(batch, POST), writers))
 
 
-def start_post_rejects(messages: DataFrame, layout: Layout, trigger: dict) -> StreamingQuery:
-    """Unreadable post messages to the ``post_rejects`` table."""
-    return _start(parse_rejects(messages, POST, "created_at"), layout, "post_rejects", trigger)
+def first_arrivals(rows: DataFrame, key: Column, within: str) -> DataFrame:
+    """Rows of a stream whose key has not arrived within a time; rows without a key stay.
 
+    The time is that of arrival, so a row is never late, however old its own time is.  Keys are kept in the query's state, over restarts too, for
+    ``within`` at least and twice that at most.
+    """
+    keyed = rows.where(key.isNotNull()).withColumn("first_key", key).withColumn("arrived_at", F.current_timestamp())
+    first = keyed.withWatermark("arrived_at", within).dropDuplicatesWithinWatermark(["first_key"]).drop("first_key", "arrived_at")
+    return first.unionByName(rows.where(key.isNull()))
 
-def scored_posts(spark: SparkSession, layout: Layout) -> DataFrame:
-    """The ``posts`` table as a stream; it may be asked for before the first post is there.
 
-    The marker makes the folder exist.  Its name hides it from readers, so the table's own log still decides
-    which files count.
-    """
-    spark.createDataFrame([], "marker int").write.mode("ignore").parquet(layout.table("posts") + "/_created")
-    return spark.readStream.schema(SCORED_POST).parquet(layout.table("posts"))
+#: Files of posts that a window job takes at once.
+POST_FILES = 1000
+
+
+def scored_posts(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The ``posts`` table as a stream; it may be asked for before the first post is there."""
+    return layout.events(spark, "posts").follow(POST_FILES)
 
 
 def start_sentiment_windows(posts: DataFrame, layout: Layout, trigger: dict) -> StreamingQuery:
     """Each window once, when it is complete, to the ``sentiment_windows`` table."""
-    write = batch_writer(layout.table("sentiment_windows"), flat_windows, ["window_end"])
+    write = layout.events(posts.sparkSession, "sentiment_windows").writer(flat_windows)
     return _start(sentiment_windows(posts), layout, "sentiment_windows", trigger, write)
 
 
@@ -119,11 +135,12 @@ def start_viewership(messages: DataFrame, layout: Layout, trigger: dict) -> Stre
         changes = children(latest_viewership(parsed(decoded)), "viewership", VIEWERSHIP_FIELDS, batch_id=batch_id)
         table.commit(state_update(table.read(batch_id), changes), batch_id)
 
+    spark = messages.sparkSession
     writers = [
-        batch_writer(layout.table("viewership"), parsed, ["event_ts"]),
-        batch_writer(layout.table("regional_viewership"), lambda d: regional_viewership(parsed(d)), ["event_ts"]),
-        batch_writer(layout.table("platform_viewership"), lambda d: platform_viewership(parsed(d)), ["event_ts"]),
-        batch_writer(layout.table("viewership_rejects"), lambda d: rejected_rows(d, VIEWERSHIP, "timestamp")),
+        layout.events(spark, "viewership").writer(parsed),
+        layout.events(spark, "regional_viewership").writer(lambda d: regional_viewership(parsed(d))),
+        layout.events(spark, "platform_viewership").writer(lambda d: platform_viewership(parsed(d))),
+        layout.events(spark, "viewership_rejects").writer(lambda d: rejected_rows(d, VIEWERSHIP, "timestamp")),
         write_state,
     ]
     write = fan_out(lambda batch: decode(batch, VIEWERSHIP), writers)
@@ -155,22 +172,23 @@ def start_ads(messages: DataFrame, layout: Layout, trigger: dict) -> StreamingQu
         finally:
             totals.unpersist()
 
+    spark = messages.sparkSession
     writers = [
-        batch_writer(layout.table("ads"), parsed, ["event_ts"]),
-        batch_writer(layout.table("ad_performance"), lambda d: ads_flat(parsed(d)), ["event_ts"]),
-        batch_writer(layout.table("regional_ads"), lambda d: regional_ads(parsed(d)), ["event_ts"]),
-        batch_writer(layout.table("ad_rejects"), lambda d: rejected_rows(d, ADS, "timestamp")),
+        layout.events(spark, "ads").writer(parsed),
+        layout.events(spark, "ad_performance").writer(lambda d: ads_flat(parsed(d))),
+        layout.events(spark, "regional_ads").writer(lambda d: regional_ads(parsed(d))),
+        layout.events(spark, "ad_rejects").writer(lambda d: rejected_rows(d, ADS, "timestamp")),
         write_state,
     ]
     write = fan_out(lambda batch: decode(batch, ADS), writers)
     return _start(messages, layout, "ads", trigger, write)
 
 
-def start_topics(topics: dict[str, DataFrame], score: Score, layout: Layout, trigger: dict) -> list[StreamingQuery]:
+def start_topics(topics: dict[str, DataFrame], score: Score, layout: Layout, trigger: dict,
+                 once_within: str | None = None) -> list[StreamingQuery]:
     """The jobs that read topics: message streams under ``posts``, ``viewership`` and ``ads``."""
     return [
-        start_posts(topics["posts"], score, layout, trigger),
-        start_post_rejects(topics["posts"], layout, trigger),
+        start_posts(topics["posts"], score, layout, trigger, once_within),
         start_viewership(topics["viewership"], layout, trigger),
         start_ads(topics["ads"], layout, trigger),
     ]
@@ -185,19 +203,19 @@ def start_windows(spark: SparkSession, layout: Layout, trigger: dict) -> list[St
 
 
 def start_all(spark: SparkSession, topics: dict[str, DataFrame], score: Score, layout: Layout,
-              interval: str = "10 seconds") -> list[StreamingQuery]:
+              interval: str = "10 seconds", once_within: str | None = None) -> list[StreamingQuery]:
     """Start every job; the caller waits on the queries, and restarts from the checkpoints after an error."""
     trigger = {"processingTime": interval}
-    return start_windows(spark, layout, trigger) + start_topics(topics, score, layout, trigger)
+    return start_windows(spark, layout, trigger) + start_topics(topics, score, layout, trigger, once_within)
 
 
-def run_available(spark: SparkSession, topics: dict[str, DataFrame], score: Score, layout: Layout) -> None:
+def run_available(spark: SparkSession, topics: dict[str, DataFrame], score: Score, layout: Layout, once_within: str | None = None) -> None:
     """Process everything the topics hold now, then stop: a catch-up run with the same checkpoints.
 
     An error in a job is raised here.
     """
     now = {"availableNow": True}
-    for query in start_topics(topics, score, layout, now):
+    for query in start_topics(topics, score, layout, now, once_within):
         query.awaitTermination()
     for query in start_windows(spark, layout, now):
         query.awaitTermination()
