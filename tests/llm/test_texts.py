@@ -256,3 +256,13 @@ def test_word_ids_are_the_tokenizers():
              "aaaa" * 5000, "Z" * 100, "word, word. WORD$$$ wörd%%%"]
     found = packing.WordIds(path)(texts)
     assert [f.tolist() for f in found] == [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+
+
+def test_languages_of_repeated_rows(spark):
+    """However often a row repeats, its language is learned, and the sample stays bounded."""
+    words = {"en": "the house and the garden of this town", "fr": "la maison et le jardin de cette ville", "de": "ein Wort"}
+    rows = [(1, words["en"], "en")] * 4000 + [(2, words["fr"], "fr")] * 4000 + [(3, words["de"], "de")]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8))
+    assert model["names"] == ["de", "en", "fr"]
+    asked = spark.createDataFrame([(k, t) for k, t in words.items()], "want string, text string")
+    assert all(r.want == r.lang_pred for r in language_id.identify(asked, model).collect())

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidecast.workspace import new_folder
+from tidecast.workspace import new_folder, remove_folder
 
 #: White space as the contracts define it: space, and the control characters tab to carriage return.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -25,13 +25,31 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_scratch: list[list[str]] = []
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """The rows, written below the shared folder and read back: the lineage ends here and a lost executor costs a re-read."""
     path = new_folder(df.sparkSession, label)
+    if _scratch:
+        _scratch[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, work: Callable[[], DataFrame], label: str) -> tuple[DataFrame, str]:
+    """The result of ``work``, written, and its folder; what `saved` wrote meanwhile is removed, as no plan that is left reads it."""
+    _scratch.append([])
+    try:
+        rows = work()
+        path = new_folder(spark, label)
+        rows.write.option("compression", "zstd").parquet(path)
+        return spark.read.schema(rows.schema).parquet(path), path
+    finally:
+        for folder in _scratch.pop():
+            remove_folder(spark, folder)
+
+
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
@@ -85,23 +103,24 @@ def powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out) if n else out
 
 
-def with_columns(df: DataFrame, outputs: str, fn, inputs: list[str]) -> DataFrame:
+def with_columns(df: DataFrame, outputs: str, fn, inputs: list[str], twice: bool = True) -> DataFrame:
     """The rows of ``df`` with columns that ``fn(batch) -> list of arrays`` computes from Arrow batches.
 
     ``outputs`` is a schema string.  A column of ``df`` with the name of an output is replaced.  ``fn`` gets each batch's
-    ``inputs`` (columns of ``df``, or of the frame before a clashing one is dropped).
+    ``inputs`` (columns of ``df``, or of the frame before a clashing one is dropped).  Without ``twice`` an input that stays is sent once, not beside a copy.
     """
     from pyspark.sql.types import StructType
 
     added = StructType.fromDDL(outputs)
     kept = [c for c in df.columns if c not in added.names]
-    given = {c: f"__in_{i}" for i, c in enumerate(inputs)}
+    given = {c: f"__in_{i}" for i, c in enumerate(inputs) if twice or c not in kept}
+    at = [kept.index(c) if c not in given else len(kept) + list(given).index(c) for c in inputs]
     wide = df.select(*[F.col(f"`{c}`") for c in kept], *[F.col(f"`{c}`").alias(n) for c, n in given.items()])
     schema = StructType([f for f in df.schema.fields if f.name in kept] + added.fields)
 
     def run(batches):
         for batch in batches:
-            arrays = fn([batch.column(len(kept) + i) for i in range(len(given))])
+            arrays = fn([batch.column(i) for i in at])
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(kept))] + arrays, names=[*kept, *added.names])
 
     return wide.mapInArrow(run, schema)

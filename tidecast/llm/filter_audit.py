@@ -49,6 +49,7 @@ def failures(docs: DataFrame, key: str = "doc_id", text: str = "text", part: str
     mask = sum((F.when(fails, 1 << k).otherwise(0) for k, fails in enumerate(own_failures(F.col("text")).values())), F.lit(0))
     rows = saved(rows.select("key", "part", mask.alias("mask"), F.unhex(F.sha2("text", 256)).alias("same"), F.length("text").alias("length")), "masks")
     first = rows.groupBy("same", "length").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first < last").drop("last")
+    first = saved(first, "repeated")  # an aggregate below it would keep the join from being split
     later = F.when(F.col("first") < F.col("key"), 1 << LETTERS.index("E")).otherwise(0)
     return rows.join(first, ["same", "length"], "left").select("key", "part", (F.col("mask") + later).alias("mask"))
 

@@ -17,7 +17,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidecast.llm.common import byte_view, mix, slices, with_columns
 
@@ -79,14 +79,18 @@ def families(means: np.ndarray) -> list[list[int]]:
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", order: str = "doc_id",
         per_language: int = SAMPLE_PER_LANGUAGE) -> dict | None:
     """The model, from rows with a text and a language; ``order`` chooses the sample, it is no feature."""
-    rows = labelled.select(F.col(order).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    rows = labelled.select(F.xxhash64(order, text).alias("draw"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    # One number a language: the driver holds the whole model of each anyway.
-    counts = {r.lang: max(1, r.n // per_language) for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
+    # Two numbers a language: the driver holds the whole model of each anyway.
+    known = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("draw").alias("least")).collect()
+    if not known:
         return None
-    steps = F.create_map(*[F.lit(v) for pair in counts.items() for v in pair])
-    sample = rows.where(F.pmod(F.xxhash64("id", "text"), steps[F.col("lang")]) == 0).select("lang", "text")
+    steps = F.create_map(*[F.lit(v) for r in known for v in (r.lang, max(1, r.n // per_language))])
+    least = F.create_map(*[F.lit(v) for r in known for v in (r.lang, r.least)])
+    # One row in so many, and one at any rate; equal rows have equal draws and count once.
+    sample = rows.where((F.pmod("draw", steps[F.col("lang")]) == 0) | (F.col("draw") == least[F.col("lang")])).dropDuplicates(["lang", "draw"])
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    sample = sample.withColumn("place", place).where(F.col("place") <= 3 * per_language).select("lang", "text")
     taken = with_columns(sample, "vector binary", lambda c: [pa.array([v.tobytes() for v in features(c[0])], pa.binary())],
                          ["text"]).select("lang", "vector").collect()
     if not taken:
@@ -151,4 +155,4 @@ def identify(docs: DataFrame, model: dict | None, text: str = "text") -> DataFra
 
     has_letter = "__has_letter"
     marked = docs.withColumn(has_letter, F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
-    return with_columns(marked, "lang_pred string, score double", run, [text, has_letter]).drop(has_letter)
+    return with_columns(marked, "lang_pred string, score double", run, [text, has_letter], twice=False).drop(has_letter)

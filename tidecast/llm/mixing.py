@@ -124,10 +124,14 @@ def settle(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def copies(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
-           weights: Sequence[float] = WEIGHTS, cap: float = CAP) -> DataFrame:
-    """A row per document: key, size, source and its size and target, copies, and ``nth``, its number among rows that agree in key, source and size."""
+           weights: Sequence[float] = WEIGHTS, cap: float = CAP, carry: str | None = None) -> DataFrame:
+    """A row per document: key, size, source and its size and target, copies, and ``nth``, its number among rows that agree in key, source and size.
+
+    ``carry``: a column that goes along.
+    """
+    along = [carry] if carry else []
     words = F.regexp_count(text_of(text), F.lit(WORD_PATTERN)).cast("long")
-    rows = docs.select(F.col(key).alias("key"), F.col(source).alias("source"), words.alias("size"), F.xxhash64(text_of(text)).alias("draw"))
+    rows = docs.select(F.col(key).alias("key"), F.col(source).alias("source"), words.alias("size"), F.xxhash64(text_of(text)).alias("draw"), *along)
     rows = saved(rows, "mix-sizes")
     known = [(r.source, r.size, r.n) for r in rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()]
     known.sort(key=lambda r: (r[0] is None, r[0] or ""))
@@ -159,19 +163,14 @@ def copies(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return out.select("key", "nth", "source", "size", "source_size", "target", (F.col("whole") + F.col("part").cast("int")).alias("copies"))
+    return out.select(*along, "key", "nth", "source", "size", "source_size", "target", (F.col("whole") + F.col("part").cast("int")).alias("copies"))
 
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
         weights: Sequence[float] = WEIGHTS, cap: float = CAP) -> DataFrame:
     """``docs`` with each row as often as the mix takes it."""
     columns = docs.columns
-    words = F.regexp_count(text_of(text), F.lit(WORD_PATTERN)).cast("long")
-    same = Window.partitionBy(F.col(key), F.col(source), "__size").orderBy("__draw")
-    left = docs.withColumns({"__size": words, "__draw": F.xxhash64(text_of(text))}).withColumn("__nth", F.row_number().over(same))
-    right = copies(docs, key, text, source, weights, cap).where("copies > 0")
-    right = right.select(*[F.col(c).alias(f"__{c}_of") for c in ("key", "source", "size", "nth", "copies")])
-    on = (F.col(key).eqNullSafe(F.col("__key_of")) & F.col(source).eqNullSafe(F.col("__source_of"))
-          & (F.col("__size") == F.col("__size_of")) & (F.col("__nth") == F.col("__nth_of")))
-    return (left.join(right, on).withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__copies_of").cast("int"))))
-            .select(*columns))
+    numbered = saved(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-rows")
+    taken = copies(numbered, key, text, source, weights, cap, carry="__row").where("copies > 0").select("__row", "copies")
+    rows = numbered.join(taken.withColumnRenamed("copies", "__copies"), "__row")
+    return rows.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__copies").cast("int")))).select(*columns)
