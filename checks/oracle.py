@@ -105,7 +105,9 @@ CTES = {
             CASE WHEN e.event_type <> 'error' THEN (d.n_chars % 1000)::INT END AS like_count,
             CASE WHEN e.event_type <> 'error' THEN (d.n_chars % 97)::INT END AS retweet_count,
             'RT @user' || e.user_id || ' https://t.co/' || d.doc_id || ' #Été_' || e.event_type || ' ' || d.text AS text
-        FROM documents d JOIN events e ON d.doc_id = e.event_id""",
+        FROM documents d JOIN (
+            SELECT doc_id AS event_id, coalesce(ts, TIMESTAMP '2024-01-01') AS ts, coalesce(user_id, 0) AS user_id, coalesce(event_type, 'none') AS event_type
+            FROM documents LEFT JOIN events ON doc_id = event_id) e ON d.doc_id = e.event_id""",
     "tweets": f"""
         SELECT p.doc_id, p.id, p.text, p.created_ts, p.created_at, coalesce(p.lang, 'unknown') AS lang, p.like_count,
             p.retweet_count, coalesce(u.id, '') AS user_id, coalesce(u.name, '') AS user_name,

@@ -3,6 +3,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from tidecast.plans import feeds
 from tidecast.operators import posts as ops
 from tidecast.operators.posts import POST_COLUMNS
 
@@ -57,3 +58,15 @@ def test_recent_keywords_and_cap(spark):
     assert ops.filter_keywords(df, "text", ["cup"]).count() == 20
     assert [r.id for r in ops.newest(df, limit=3).collect()] == ["0", "1", "2"]
     assert ops.newest(df).count() == 40
+
+
+def test_documents_without_an_event_are_posts_too(spark, tmp_path):
+    source = "/root/testdata/sf0.001"
+    for name in ("documents", "events", "customer", "nation", "region"):
+        rows = spark.read.parquet(f"{source}/{name}.parquet")
+        (rows.where("event_id % 3 <> 0") if name == "events" else rows).write.parquet(str(tmp_path / f"{name}.parquet"))
+    posts = feeds.raw_posts(spark, str(tmp_path))
+    assert posts.count() == spark.read.parquet(f"{source}/documents.parquet").count()
+    lone = posts.where("doc_id % 3 = 0").first()
+    assert (lone.event_type, lone.author_id, lone.created_at) == ("none", "0", "2024-01-01T00:00:00.000000Z")
+    assert posts.where("doc_id % 3 = 1 AND event_type = 'none'").count() == 0

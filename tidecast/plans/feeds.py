@@ -24,6 +24,8 @@ STOP_WORDS = ["the", "of", "and", "to", "in", "a", "is", "on"]
 LEXICON = [("er", 1.9), ("nd", -2.1), ("ha", 2.7), ("th", -1.5), ("re", 0.8), ("on", -0.6), ("ea", 1.1), ("un", -1.0)]
 RESOLUTIONS = ["480p", "720p", "1080p", "1440p", "4K"]
 ENVELOPE_SIZE = 2
+#: Time, author and type of a post whose document has no event.
+NO_EVENT = {"created_ts": "2024-01-01 00:00:00", "user_id": 0, "event_type": "none"}
 
 _written: dict[tuple[str, str, str], str] = {}
 _writing = threading.RLock()
@@ -157,19 +159,20 @@ def campaign_folder(spark: SparkSession, sf_dir: str) -> str:
 
 
 def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One post per document; the event of the same number gives time, author and type.
+    """One post per document; the event of the same number gives time, author and type.  A document without one has those of `NO_EVENT`.
 
-    Posts of type "error" have no language, and an author nobody knows.
+    Posts of type "error" have no language, and an author nobody knows.  Events without a document are no posts: they have no text.
     """
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
     events = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("doc_id"), F.col("ts").cast("timestamp").alias("created_ts"), "user_id", "event_type")
+    rows = documents.join(events, "doc_id", "left").withColumns({c: F.coalesce(c, F.lit(v).cast(events.schema[c].dataType)) for c, v in NO_EVENT.items()})
     user, lost = F.col("user_id").cast("string"), F.col("event_type") == "error"
     text = F.concat(F.lit("RT @user"), user, F.lit(" https://t.co/"), F.col("doc_id").cast("string"),
                     F.lit(" #Été_"), F.col("event_type"), F.lit(" "), F.col("text"))
     metrics = F.create_map(F.lit("like_count"), (F.col("n_chars") % 1000).cast("int"),
                            F.lit("retweet_count"), (F.col("n_chars") % 97).cast("int"))
-    return documents.join(events, "doc_id").select(
+    return rows.select(
         "doc_id", F.col("doc_id").cast("string").alias("id"), text.alias("text"),
         F.concat(F.date_format("created_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")).alias("created_at"),
         "created_ts", F.when(~lost, F.col("lang")).alias("lang"),
