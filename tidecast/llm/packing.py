@@ -33,7 +33,7 @@ SENTENCE_CUT, FORCED_CUT = 16.0, 256.0
 #: Sentence ends are considered once in so many tokens, forced cuts every so many.
 GRAIN, STRIDE = 32, 512
 #: Tokens packed in one run of the program, and words whose ids a worker remembers.
-RUN, REMEMBERED = 1 << 20, 600_000
+RUN, REMEMBERED = 1 << 20, 250_000
 #: Marks that may follow a word's letters, how many at most are looked up by themselves, and how many such endings are kept.
 MARKS, LONGEST_MARKS, MARKS_REMEMBERED = string.punctuation, 8, 100_000
 #: Letters below this one are Latin and composed.
