@@ -21,6 +21,8 @@ import numpy as np
 MEMORY = 64 << 20
 #: Entries that induce their neighbours at once.
 STEP = 1 << 18
+#: Values whose ranges are read as they are, without a table.
+SHORT = 2048
 ENTRY = np.dtype([("at", "<i8"), ("lcp", "<u2")])
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -60,6 +62,10 @@ class Runs:
 
 def range_min(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Least value of each range, ends included."""
+    if len(values) <= SHORT:
+        bounds = np.empty(2 * len(first), np.int64)
+        bounds[::2], bounds[1::2] = first, last + 1
+        return np.minimum.reduceat(np.append(values, values[-1:]), bounds)[::2]
     table = [values]
     while 2 << (len(table) - 1) <= len(values):
         step = 1 << (len(table) - 1)
@@ -73,7 +79,7 @@ def range_min(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.nda
 
 
 class Sweep:
-    """One pass over the letters: entries in sorted order, and the entries they induce."""
+    """One pass over the letters: entries in sorted order, and the entries they induce.  A ``cap`` of 0 leaves common prefixes out."""
 
     def __init__(self, text: np.ndarray, wanted: np.ndarray, letters: int, cap: int, memory: int) -> None:
         self.text, self.wanted, self.cap, self.queue = text, wanted, cap, Runs(letters, memory)
@@ -85,14 +91,19 @@ class Sweep:
 
     def step(self, entries: np.ndarray) -> None:
         """Queue the left neighbours of entries that come next in order, where they are of the wanted type."""
-        at, lcp = entries["at"], entries["lcp"].astype(np.int32)
+        at, lcp = entries["at"], entries["lcp"].astype(np.int32) if self.cap else ()
         chosen = np.flatnonzero((at > 0) & self.wanted[at - 1])
         letters = self.text[at[chosen] - 1]
         order = np.argsort(letters, kind="stable")
         chosen, letters = chosen[order], letters[order].astype(np.int64)
         heads = np.flatnonzero(np.append(True, letters[1:] != letters[:-1])) if len(letters) else np.zeros(0, np.int64)
         present = letters[heads]
-        if len(chosen):
+        if not self.cap:
+            out = np.zeros(len(chosen), ENTRY)
+            out["at"] = at[chosen] - 1
+            for letter, a, b in zip(present.tolist(), heads.tolist(), np.append(heads[1:], len(letters)).tolist()):
+                self.queue.push(letter, out[a:b])
+        elif len(chosen):
             before = np.append(-1, chosen[:-1])
             before[heads] = -1
             least = range_min(lcp, before + 1, chosen)
@@ -113,6 +124,8 @@ class Sweep:
 
 
 def common(text: np.ndarray, a: int, b: int, cap: int) -> int:
+    if not cap:
+        return 0
     n = min(cap, len(text) - max(a, b))
     other = np.flatnonzero(text[a:a + n] != text[b:b + n])
     return int(other[0]) if len(other) else n
@@ -178,6 +191,7 @@ def suffix_array(data: np.ndarray, cap: int, memory: int = MEMORY) -> tuple[np.n
     n, letters = len(text), int(text.max()) + 1 if len(text) else 0
     if n < 2:
         return np.arange(n), np.zeros(n, np.int64)
+    narrow = text.astype(np.uint16) if letters <= 1 << 16 else text  # 16-bit letters are sorted by counting
     # A suffix is small if the first letter that differs from its own is larger; the end counts as smallest.
     step = np.append(np.sign(text[1:] - text[:-1]), -1)
     known = np.flatnonzero(step)
@@ -185,11 +199,11 @@ def suffix_array(data: np.ndarray, cap: int, memory: int = MEMORY) -> tuple[np.n
     lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
     none = np.zeros(0, np.int64)
     if not len(lms):
-        entries = induced(text, is_s, none, none, letters, cap, memory)
+        entries = induced(narrow, is_s, none, none, letters, cap, memory)
         return entries["at"], entries["lcp"].astype(np.int64)
     # LMS substrings in order: induce from LMS positions sorted by their letter only.
-    first = lms[np.argsort(text[lms], kind="stable")]
-    rough = induced(text, is_s, first, np.zeros(len(first)), letters, cap, memory)["at"]
+    first = lms[np.argsort(narrow[lms], kind="stable")]
+    rough = induced(narrow, is_s, first, np.zeros(len(first)), letters, 0, memory)["at"]
     is_lms = np.zeros(n, bool)
     is_lms[lms] = True
     order = rough[is_lms[rough]]
@@ -209,7 +223,7 @@ def suffix_array(data: np.ndarray, cap: int, memory: int = MEMORY) -> tuple[np.n
         rank[by] = np.cumsum(np.append(False, key[by][1:] != key[by][:-1]))
         reach *= 2
     at = lms[np.argsort(rank, kind="stable")]
-    entries = induced(text, is_s, at, adjacent_common(text, at, cap), letters, cap, memory)
+    entries = induced(narrow, is_s, at, adjacent_common(text, at, cap), letters, cap, memory)
     return entries["at"], entries["lcp"].astype(np.int64)
 
 
