@@ -31,12 +31,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidecast.llm.common import byte_view, mix, powers, saved, text_of, with_columns
 from tidecast.llm.induced_sort import suffix_array
-from tidecast.llm.tables import WANTED_BITS, chunk_rows, is_set, merged, set_bits
+from tidecast.llm.tables import WANTED_BITS, are_set, chunk_rows, merged, set_bits
 
 SPAN, GRAM = 400, 100
 #: Sizes of the blocks of anchor places that stretches are cut into, different parts of a group that go to one shard, and bytes aimed at per shard.
 BLOCKS = (128, 32)
 MOST, SHARD_BYTES = 500, 1 << 20
+#: Bytes that one task sorts, shard by shard, and tasks at most.
+TASK_BYTES, MOST_TASKS = 16 << 20, 100_000
+#: Shares of all stretches that a group may have in one task.
+HOT = 20_000
 BASE = 0x9E3779B97F4A7C15 | 1
 PART = 1 << 19
 #: Documents whose stretches a task hands on at once.
@@ -107,7 +111,7 @@ def find_stretches(docs: DataFrame) -> DataFrame:
 def open_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``gram, d1, d2, doc, start, lead, bytes``: a stretch of each wanted class, with its bytes.
 
-    Which classes are wanted is told by a bit table of fixed size; what it lets through by chance is joined away.
+    Which groups are wanted is told by a bit table of fixed size; what it lets through by chance is joined away.
     """
     def mark(batches):
         table = np.zeros(WANTED_BITS >> 3, np.uint8)
@@ -115,7 +119,7 @@ def open_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             set_bits(table, batch.column(0).to_numpy())
         yield chunk_rows(table, TaskContext.get().partitionId())
 
-    bits = merged(wanted.select("d1").mapInArrow(mark, "chunk long, part long, data binary"), WANTED_BITS >> 3, "u1", np.bitwise_or)
+    bits = merged(wanted.select("gram").distinct().mapInArrow(mark, "chunk long, part long, data binary"), WANTED_BITS >> 3, "u1", np.bitwise_or)
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches):
@@ -125,10 +129,11 @@ def open_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             for name, a, b in zip(batch.column(0).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
                 text = data[a:b]
                 for gram, start, count, anchor in all_stretches(text):
-                    for g, s, c, p in zip(gram.tolist(), start.tolist(), count.tolist(), anchor.tolist()):
-                        d = digest(text, s, c)
-                        if is_set(shared.value, d[0]):
-                            found[g, *d] = (name, s, p - s, text[s:s + c + SPAN - 1].tobytes())
+                    own = np.flatnonzero(are_set(shared.value, gram))
+                    for g, s, c, p in zip(*(v[own].tolist() for v in (gram, start, count, anchor))):
+                        key = (g, *digest(text, s, c))
+                        if key not in found:
+                            found[key] = (name, s, p - s, text[s:s + c + SPAN - 1].tobytes())
             if found:
                 columns = [*zip(*found), *zip(*found.values())]
                 types = [pa.int64()] * 5 + [pa.int32(), pa.binary()]
@@ -200,14 +205,27 @@ def repeated_in(shard: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"doc": shard["doc"].to_numpy()[own], "start": shard["start"].to_numpy()[own] + first - begins[own], "windows": last - first})
 
 
+def with_lookup(rows: DataFrame, lookup: DataFrame, keys: list[str], n: str) -> DataFrame:
+    """``rows`` joined with one ``lookup`` row per key, of which ``n`` tells how many ``rows`` have it.
+
+    A key that has more than a ``HOT``-th of all rows, which fewer than ``HOT`` keys have, is dealt to as many tasks as it has such shares.
+    """
+    share = max(rows.count() // HOT, 1)
+    hot = lookup.where(F.col(n) > share).select(*keys, F.ceil(F.col(n) / share).cast("bigint").alias("shares"))  # at most HOT rows
+    dealt = rows.join(F.broadcast(hot), keys, "left").withColumn("deal", F.coalesce(F.pmod(F.xxhash64("doc", "start"), "shares"), F.lit(0))).drop("shares")
+    shares = F.greatest(F.lit(1), F.ceil(F.col(n) / share)).cast("bigint")
+    return dealt.join(lookup.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("bigint"), shares - 1))).drop(n), [*keys, "deal"]).drop("deal")
+
+
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """``doc, start, windows``: ranges of windows of ``doc, text`` that also start elsewhere."""
     places = saved(find_stretches(docs), "stretches")
     groups = places.groupBy("gram").agg(F.count("*").alias("n"), F.min("d1").alias("least"), F.max("d1").alias("most")).where("n > 1")
-    shared = saved(places.join(groups, "gram").withColumn("mixed", F.col("least") != F.col("most")).drop("n", "least", "most"), "stretch-groups")
+    groups = groups.select("gram", "n", (F.col("least") != F.col("most")).alias("mixed"))
+    shared = saved(with_lookup(places, saved(groups, "stretch-anchors"), ["gram"], "n"), "stretch-groups")
     classes = shared.where("mixed").groupBy("gram", "d1", "d2").agg(F.count("*").alias("copies"))
     classes = saved(classes, "stretch-classes")
-    copies = shared.join(classes.where("copies > 1").drop("copies"), ["gram", "d1", "d2"], "left_semi").unionByName(shared.where("not mixed"))
+    copies = with_lookup(shared.where("mixed"), classes.where("copies > 1"), ["gram", "d1", "d2"], "copies").unionByName(shared.where("not mixed"))
 
     rows = open_texts(docs, classes).select(F.col("gram").alias("group"), F.lit(512).alias("block"), F.lit(0).alias("low"), "doc", "start", "lead", "copies", "bytes")
     rows = saved(rows, "stretch-texts")
@@ -229,7 +247,9 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         shards = shards.unionByName(more)
     total = shards.agg(F.coalesce(F.sum(F.length("bytes")), F.lit(0))).first()[0]
     number = max(1, total // SHARD_BYTES)
-    sorted_out = (shards.groupBy(F.pmod(F.xxhash64("group"), F.lit(number)).alias("shard"))
+    tasks = int(max(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"), min(total // TASK_BYTES, MOST_TASKS), key=int))
+    # A number that is asked for is kept: tasks that are put together by their bytes would sort for a minute each.
+    sorted_out = (shards.withColumn("shard", F.pmod(F.xxhash64("group"), F.lit(number))).repartition(tasks, "shard").groupBy("shard")
                   .applyInPandas(lambda f: repeated_in(f), "doc long, start long, windows long"))
     return copies.unionByName(sorted_out)
 

@@ -23,6 +23,11 @@ def is_set(table: np.ndarray, value: int) -> bool:
     return bool(table[bit >> 3] >> (bit & 7) & 1)
 
 
+def are_set(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes.view(np.uint64) % np.uint64(len(table) * 8)
+    return (table[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
 def chunk_rows(table: np.ndarray, part: int) -> pa.RecordBatch:
     """The non-empty chunks of a table, packed."""
     chunks = table.reshape(-1, min(CHUNK, len(table)))
