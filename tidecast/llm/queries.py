@@ -30,7 +30,8 @@ def query(fn: Query) -> Query:
 @query
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = suffix_dedup.removed(read_table(spark, sf_dir, "documents"), keep=("doc_id",))
-    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+                       (F.col("n_removed") > 0).alias("has_repeat"))
 
 
 @query
