@@ -320,7 +320,7 @@ oracle("sentiment_combine", f"""
 oracle("tweet_sentiment", "SELECT id, positive, neutral, negative, compound FROM sentiment", "sentiment")
 
 # Windows
-for name in ("sentiment_5min", "sentiment_5min_complete"):
+for name in ("sentiment_5min", "sentiment_5min_complete", "sentiment_5min_maintained"):
     oracle(name, f"SELECT {WINDOW} FROM windows", "windows")
 for name in ("sentiment_5min_append", "sink_sentiment"):
     oracle(name, f"SELECT {WINDOW} FROM closed", "closed")
@@ -344,7 +344,8 @@ oracle("fanout_counts", """
        "posts", "closed", "viewership", "regional", "platform", "ads", "region_ads")
 
 # Aggregates and latest records
-oracle("ads_by_type", "SELECT * FROM totals", "totals")
+for name in ("ads_by_type", "ads_by_type_maintained"):
+    oracle(name, "SELECT * FROM totals", "totals")
 for name in ("latest_ads", "current_ads"):
     oracle(name, f"""
         SELECT (SELECT {iso('max(d)')} FROM ads) AS timestamp, type, impressions, clicks, ctr, cost, conversions,

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidecast.functions.averages import mean
+
 
 def ads_by_type(ads: DataFrame) -> DataFrame:
-    """Totals and average rates per ad type, with the time of its newest message."""
+    """Totals and average rates per ad type, with the time of its newest message; from ads or from sums of them."""
     return ads.groupBy("type").agg(
         F.max("event_ts").alias("event_ts"),
         F.sum("impressions").alias("impressions"),
         F.sum("clicks").alias("clicks"),
-        F.avg("ctr").alias("ctr"),
+        mean(ads, "ctr").alias("ctr"),
         F.sum("cost").alias("cost"),
         F.sum("conversions").alias("conversions"),
-        F.avg("cost_per_conversion").alias("cost_per_conversion"),
+        mean(ads, "cost_per_conversion").alias("cost_per_conversion"),
     )

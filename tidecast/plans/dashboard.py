@@ -1,9 +1,13 @@
-"""Dashboard visuals: counts and money are summed, rates averaged."""
+"""Dashboard visuals: counts and money are summed, rates averaged.
+
+Those that sum or average take rows, or sums of them that the jobs maintain (`streaming/partials.py`).
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidecast.functions.averages import mean
 from tidecast.functions.timestamps import iso_format
 from tidecast.operators.latest import latest_viewership
 
@@ -23,7 +27,7 @@ def viewers_over_time(viewership: DataFrame) -> DataFrame:
 
 
 def card_compound(windows: DataFrame) -> DataFrame:
-    return windows.agg(F.avg("avg_compound").alias("compound"))
+    return windows.agg(mean(windows, "avg_compound").alias("compound"))
 
 
 def sentiment_trend(windows: DataFrame) -> DataFrame:
@@ -35,13 +39,13 @@ def sentiment_trend(windows: DataFrame) -> DataFrame:
 
 def sentiment_by_region(records: DataFrame) -> DataFrame:
     """From the per-record sentiment table: only that one knows a region."""
-    return records.groupBy("region").agg(F.avg("positive").alias("positive"))
+    return records.groupBy("region").agg(mean(records, "positive").alias("positive"))
 
 
 def card_ctr(ads: DataFrame) -> DataFrame:
     """The average rate, and the rate of the sums."""
     weighted = F.try_divide(F.sum("clicks"), F.sum("impressions")) * F.lit(100.0)
-    return ads.agg(F.avg("ctr").alias("ctr"), weighted.alias("weighted_ctr"))
+    return ads.agg(mean(ads, "ctr").alias("ctr"), weighted.alias("weighted_ctr"))
 
 
 def ad_performance_by_type(ads: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ from tidecast.sources.messages import (
 from tidecast.sources.warehouse import warehouse_sql
 from tidecast.streaming import jobs
 from tidecast.streaming.sinks import StateTable, batch_writer, read_batches
-from tidecast.streaming.windows import flat_windows, sentiment_windows
+from tidecast.streaming.windows import flat_windows, merged_windows, sentiment_windows
 from tidecast.workspace import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,6 +110,10 @@ def stored(spark, sf_dir, name):
     return layout(spark, sf_dir).events(spark, name).read()
 
 
+def sums(spark, sf_dir, name):
+    return layout(spark, sf_dir).sums(spark, name).read()
+
+
 def stored_since(spark, sf_dir, name, hours):
     """The last hours of a table, and its newest time: only the folders that can hold them are opened."""
     table = layout(spark, sf_dir).events(spark, name)
@@ -491,6 +495,12 @@ def sentiment_5min_complete(spark, sf_dir):
     return spread_windows(rows)
 
 
+@query("sentiment_5min_maintained")
+def sentiment_5min_maintained(spark, sf_dir):
+    """All windows, from the sums that the jobs keep: complete output that rewrites no window."""
+    return widened(merged_windows(sums(spark, sf_dir, "window_sums"))).withColumns(rounded(*AVERAGES))
+
+
 LATE_FROM = "2024-01-02 12:00:00"
 
 
@@ -546,6 +556,11 @@ def ads_by_type_totals(spark, sf_dir):
     return by_type(ads_by_type(flatten.ads_flat(parsed_ads(spark, sf_dir))))
 
 
+@query("ads_by_type_maintained")
+def ads_by_type_maintained(spark, sf_dir):
+    return by_type(ads_by_type(sums(spark, sf_dir, "ad_sums")))
+
+
 @query("latest_ads")
 def latest_ads_record(spark, sf_dir):
     return by_type(latest_ads(flatten.ads_flat(parsed_ads(spark, sf_dir))).drop("updated_at"))
@@ -825,22 +840,23 @@ def current_ads(spark, sf_dir):
 
 @query("card_total_viewers")
 def card_total_viewers(spark, sf_dir):
-    return dashboard.card_total_viewers(stored(spark, sf_dir, "viewership"))
+    """The newest message is in the folder of the newest time."""
+    return dashboard.card_total_viewers(stored_since(spark, sf_dir, "viewership", 0)[0])
 
 
 @query("viewers_by_region")
 def viewers_by_region(spark, sf_dir):
-    return dashboard.viewers_by_region(stored(spark, sf_dir, "regional_viewership"))
+    return dashboard.viewers_by_region(sums(spark, sf_dir, "viewer_sums"))
 
 
 @query("viewers_over_time")
 def viewers_over_time(spark, sf_dir):
-    return dashboard.viewers_over_time(stored(spark, sf_dir, "viewership"))
+    return dashboard.viewers_over_time(sums(spark, sf_dir, "audience_sums"))
 
 
 @query("card_compound")
 def card_compound(spark, sf_dir):
-    return dashboard.card_compound(stored(spark, sf_dir, "sentiment_windows")).withColumns(rounded("compound"))
+    return dashboard.card_compound(sums(spark, sf_dir, "closed_window_sums")).withColumns(rounded("compound"))
 
 
 @query("sentiment_trend")
@@ -851,19 +867,19 @@ def sentiment_trend(spark, sf_dir):
 
 @query("sentiment_by_region")
 def sentiment_by_region(spark, sf_dir):
-    return dashboard.sentiment_by_region(post_records(spark, sf_dir)).withColumns(rounded("positive"))
+    return dashboard.sentiment_by_region(sums(spark, sf_dir, "region_sums")).withColumns(rounded("positive"))
 
 
 @query("card_ctr")
 def card_ctr(spark, sf_dir):
-    return dashboard.card_ctr(stored(spark, sf_dir, "ad_performance")).withColumns(rounded("ctr", "weighted_ctr"))
+    return dashboard.card_ctr(sums(spark, sf_dir, "ad_sums")).withColumns(rounded("ctr", "weighted_ctr"))
 
 
 @query("ad_performance_by_type")
 def ad_performance_by_type(spark, sf_dir):
-    return dashboard.ad_performance_by_type(stored(spark, sf_dir, "ad_performance"))
+    return dashboard.ad_performance_by_type(sums(spark, sf_dir, "ad_sums"))
 
 
 @query("ad_cost_over_time")
 def ad_cost_over_time(spark, sf_dir):
-    return dashboard.ad_cost_over_time(stored(spark, sf_dir, "ad_performance")).withColumns(rounded("cost"))
+    return dashboard.ad_cost_over_time(sums(spark, sf_dir, "cost_sums")).withColumns(rounded("cost"))

@@ -7,7 +7,7 @@ jobs stream from the table of scored posts.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,9 +17,10 @@ from tidecast.operators.latest import latest_ads, latest_sentiment, latest_viewe
 from tidecast.operators.state import children, keyed_children, state_set, state_update
 from tidecast.schemas import ADS, POST, SCORED_POST, VIEWERSHIP
 from tidecast.sources.messages import decode, parsed_rows, rejected_rows
+from tidecast.streaming.partials import Kind, PartialTable
 from tidecast.streaming.sinks import BatchWriter, StateTable, fan_out, run_of
 from tidecast.streaming.tables import EventTable
-from tidecast.streaming.windows import flat_windows, sentiment_windows
+from tidecast.streaming.windows import SCORES, flat_windows, sentiment_windows, window_scores
 from tidecast.workspace import has_files
 
 SENTIMENT_FIELDS = ["timestamp", "positive", "neutral", "negative", "compound"]
@@ -36,6 +37,20 @@ TIMES = {
 }
 
 
+AD_SUMS = ("impressions", "clicks", "cost", "conversions")
+
+#: Sums that the jobs maintain for dashboards.  A grain stands for the period of the layout.
+SUMS = {
+    "viewer_sums": Kind("event_ts", ("region",), ("viewers",), grain="day"),
+    "audience_sums": Kind("event_ts", (), ("total_viewers",)),
+    "ad_sums": Kind("event_ts", ("type",), AD_SUMS, ("ctr", "cost_per_conversion"), grain="day"),
+    "cost_sums": Kind("event_ts", (), ("cost",)),
+    "closed_window_sums": Kind("window_end", (), (), ("avg_compound",), grain="day"),
+    "window_sums": Kind("window_end", ("window_start",), (), SCORES),
+    "region_sums": Kind("created_ts", ("region",), (), ("positive",), grain="day"),
+}
+
+
 @dataclass(frozen=True)
 class Layout:
     """Where tables, state and checkpoints live, below one shared folder.  ``period``: of event time, for a folder of a table."""
@@ -49,6 +64,11 @@ class Layout:
     def events(self, spark: SparkSession, name: str) -> EventTable:
         return EventTable(spark, self.table(name), TIMES.get(name), SCORED_POST if name == "posts" else None, self.period)
 
+    def sums(self, spark: SparkSession, name: str) -> PartialTable:
+        """A table of maintained sums; see `SUMS`."""
+        kind = SUMS[name]
+        return PartialTable(spark, self.table(name), kind if kind.grain is None else replace(kind, grain=self.period), self.period)
+
     def state(self, path: str) -> str:
         return f"{self.root}/state/{path}"
 
@@ -106,9 +126,27 @@ def scored_posts(spark: SparkSession, layout: Layout) -> DataFrame:
 
 
 def start_sentiment_windows(posts: DataFrame, layout: Layout, trigger: dict) -> StreamingQuery:
-    """Each window once, when it is complete, to the ``sentiment_windows`` table."""
-    write = layout.events(posts.sparkSession, "sentiment_windows").writer(flat_windows)
-    return _start(sentiment_windows(posts), layout, "sentiment_windows", trigger, write)
+    """Each window once, when it is complete, to the ``sentiment_windows`` table, and the sums of these."""
+    spark = posts.sparkSession
+    writers = [layout.events(spark, "sentiment_windows").writer(), layout.sums(spark, "closed_window_sums").adder()]
+    return _start(sentiment_windows(posts), layout, "sentiment_windows", trigger, fan_out(flat_windows, writers))
+
+
+def start_post_sums(posts: DataFrame, layout: Layout, trigger: dict) -> StreamingQuery:
+    """Sums of scores by window, open windows too, and by region.
+
+    No window is in the query's state: a batch adds a row for each window it meets, so complete output costs what has changed and no more.
+    A new checkpoint would add all posts again, so it is refused.
+    """
+    spark = posts.sparkSession
+    if has_files(spark, layout.table("window_sums") + "/_log") and not has_files(spark, layout.checkpoint("post_sums") + "/offsets"):
+        raise ValueError("the sums were written under another checkpoint")
+
+    def regions(batch: DataFrame) -> DataFrame:
+        return batch.select("created_ts", F.col("user.location").alias("region"), F.col("sentiment.positive").alias("positive"))
+
+    writers = [layout.sums(spark, "window_sums").adder(window_scores), layout.sums(spark, "region_sums").adder(regions)]
+    return _start(posts, layout, "post_sums", trigger, fan_out(lambda b: b.select("created_ts", "user", "sentiment"), writers))
 
 
 def start_latest_sentiment(posts: DataFrame, layout: Layout, trigger: dict, mode: str = "update") -> StreamingQuery:
@@ -140,6 +178,8 @@ def start_viewership(messages: DataFrame, layout: Layout, trigger: dict) -> Stre
         layout.events(spark, "viewership").writer(parsed),
         layout.events(spark, "regional_viewership").writer(lambda d: regional_viewership(parsed(d))),
         layout.events(spark, "platform_viewership").writer(lambda d: platform_viewership(parsed(d))),
+        layout.sums(spark, "audience_sums").adder(parsed),
+        layout.sums(spark, "viewer_sums").adder(lambda d: regional_viewership(parsed(d))),
         layout.events(spark, "viewership_rejects").writer(lambda d: rejected_rows(d, VIEWERSHIP, "timestamp")),
         write_state,
     ]
@@ -177,6 +217,8 @@ def start_ads(messages: DataFrame, layout: Layout, trigger: dict) -> StreamingQu
         layout.events(spark, "ads").writer(parsed),
         layout.events(spark, "ad_performance").writer(lambda d: ads_flat(parsed(d))),
         layout.events(spark, "regional_ads").writer(lambda d: regional_ads(parsed(d))),
+        layout.sums(spark, "ad_sums").adder(lambda d: ads_flat(parsed(d))),
+        layout.sums(spark, "cost_sums").adder(lambda d: ads_flat(parsed(d))),
         layout.events(spark, "ad_rejects").writer(lambda d: rejected_rows(d, ADS, "timestamp")),
         write_state,
     ]
@@ -199,6 +241,7 @@ def start_windows(spark: SparkSession, layout: Layout, trigger: dict) -> list[St
     return [
         start_sentiment_windows(scored_posts(spark, layout), layout, trigger),
         start_latest_sentiment(scored_posts(spark, layout), layout, trigger),
+        start_post_sums(scored_posts(spark, layout), layout, trigger),
     ]
 
 

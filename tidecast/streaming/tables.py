@@ -191,12 +191,16 @@ class EventTable:
                 return 0
             name, schema = uuid.uuid4().hex, self.columns()
             folder = f"{KIND}=merged/{WRITE}={name}"
-            self._place(self._read(paths), name, folder)
+            self._place(self.compacted(self._read(paths)), name, folder)
             self._log(f"merge-{name}", self._added(folder, schema).unionByName(self._rows(old.withColumn("entry", F.lit(REMOVE)))))
             return len(paths)
         finally:
             old.unpersist()
 
+    def compacted(self, rows: DataFrame) -> DataFrame:
+        """What `merge` writes for the rows of its periods."""
+        return rows
+
     def fold_log(self) -> None:
         """Replace the commits so far by one: the live folders, each run's last batch, and what was removed from commits that still lie there."""
         names = subfolders(self.spark, f"{self.root}/_log")

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidecast.functions.averages import mean
+
 # Window length and how late a post may be.
 WINDOW = "5 minutes"
 LATENESS = "10 minutes"
+SCORES = ("positive", "neutral", "negative", "compound")
 
 
 def sentiment_windows(posts: DataFrame, ts_col: str = "created_ts", window: str = WINDOW,
@@ -27,6 +30,17 @@ def sentiment_windows(posts: DataFrame, ts_col: str = "created_ts", window: str
     )
 
 
+def window_scores(posts: DataFrame, ts_col: str = "created_ts", window: str = WINDOW) -> DataFrame:
+    """Each post's scores with the window it falls in; posts without a time are in none."""
+    scores = posts.select(F.window(ts_col, window).alias("window"), "sentiment.*")
+    return scores.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *SCORES)
+
+
+def merged_windows(sums: DataFrame) -> DataFrame:
+    """The table form of all windows, open ones too, from sums of `window_scores`."""
+    return sums.groupBy("window_start", "window_end").agg(*[mean(sums, s).alias(f"avg_{s}") for s in SCORES])
+
+
 def flat_windows(windows: DataFrame) -> DataFrame:
     """The table form: window_start, window_end and the averages."""
     return windows.select(
