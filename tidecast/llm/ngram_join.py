@@ -9,7 +9,8 @@ their union.  The product of the matrix with itself is formed in blocks and only
 2. A column's documents are first multiplied with a few of them alone, in several rounds with other ones each.  That connects
    large groups of near copies by a number of products in proportion to their members.
 3. Then all pairs of a column that are not yet connected are multiplied: first in bit tables of a fixed size, which bound the overlap from
-   above before a pair becomes a row.  Pairs that are connected need no product: the result is components.
+   above before a pair becomes a row: one table of the first entries, then one of the whole row.  Pairs that are connected need no
+   product: the result is components.
 
 A product is formed over the first entries, and over whole rows only for pairs that share ``k`` of those; a pair whose sizes alone
 rule out a link is dropped before.  Documents with equal rows are one row.  Nothing of a size that grows with the documents is collected or broadcast.
@@ -38,8 +39,11 @@ COUNTERS = 1 << 22
 WORD_BASE, GRAM_BASE = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
 WORD_POWERS = powers(WORD_BASE, 1 << 12)
 SLICE = 1 << 20
-#: Longs of a row's bit table (a power of two), and blocks before a pair's own that are looked at for the same pair.
-BIT_LONGS, EARLIER = 8, 8
+#: Longs of the bit tables of a row's first entries and of all its entries (powers of two), and blocks before a pair's own that are looked
+#: at for the same pair.
+BIT_LONGS, ROW_LONGS, EARLIER = 8, 16, 8
+#: Ids that a reading task remembers, to send the entries of rows that are equal once.
+REMEMBERED = 1 << 18
 #: Bits flipped to choose the centers of columns, by round.
 SALTS = tuple(tuple(((r * 8 + k) * 0x9E3779B97F4A7C15 + 0x5851F42D4C957F2D) % (1 << 63) - (1 << 62) for k in range(n)) for r, n in enumerate((4, 6, 8)))
 
@@ -144,29 +148,48 @@ def row_id(grams: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(grams.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def row_tables(sets: list[np.ndarray]) -> np.ndarray:
+    """For each row ``ROW_LONGS`` longs: a bit is set where an odd number of the row's entries falls on it."""
+    width = ROW_LONGS * 64
+    place = [k * width + (g & np.uint64(width - 1)).astype(np.int64) for k, g in enumerate(sets)]
+    counts = np.bincount(np.concatenate(place), minlength=len(sets) * width) if sets else np.zeros(0, np.int64)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def links(overlap: int, n: int, m: int) -> bool:
     return 100 * overlap >= SHARE_PERCENT * (n + m - overlap)
 
 
 def read_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``doc_id, n, id, prefix``: each document's row number and the entries of its row that form columns."""
+    """``doc_id, n, id, prefix, bits``: each document's row number, the entries of its row that form columns, and the row's bit table.
+
+    Of equal rows that a task reads, mostly one has its ``prefix``: a page with a million copies puts one entry a task on each of its columns.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(frequency_ranks(docs, text))
     key_type = docs.select(key).schema[0].dataType.simpleString()
 
     def read(batches):
-        ranks = shared.value
+        ranks, sent, nothing = shared.value, set(), np.zeros(0, np.int64)
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.slice(at, 256)
                 sets = gram_sets(part.column(1))
-                prefixes = [g[np.argsort(ranks[slot(g)], kind="stable")[:prefix_length(len(g))]].view(np.int64) if len(g) else np.zeros(0, np.int64)
-                            for g in sets]
+                ids, prefixes = [row_id(g) for g in sets], []
+                for name, g in zip(ids, sets):
+                    fresh = len(g) and name not in sent
+                    prefixes.append(g[np.argsort(ranks[slot(g)], kind="stable")[:prefix_length(len(g))]].view(np.int64) if fresh else nothing)
+                    sent.add(name)
+                if len(sent) > REMEMBERED:
+                    sent.clear()
                 ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
+                table_ends = np.arange(0, (len(sets) + 1) * ROW_LONGS, ROW_LONGS, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(g) for g in sets], pa.int64()), pa.array([row_id(g) for g in sets], pa.int64()),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(prefixes)))], names=["doc_id", "n", "id", "prefix"])
+                    [part.column(0), pa.array([len(g) for g in sets], pa.int64()), pa.array(ids, pa.int64()),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(prefixes))),
+                     pa.ListArray.from_arrays(pa.array(table_ends), pa.array(row_tables(sets)))], names=["doc_id", "n", "id", "prefix", "bits"])
 
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text)).mapInArrow(read, f"doc_id {key_type}, n long, id long, prefix array<long>")
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text)).mapInArrow(
+        read, f"doc_id {key_type}, n long, id long, prefix array<long>, bits array<long>")
     return saved(rows, "gram-rows")
 
 
@@ -225,12 +248,12 @@ def with_centers(first_entries: DataFrame, labels: DataFrame | None, salts: tupl
     return pairs.where("of_a != of_b").select("a", "b")
 
 
-def all_open(first_entries: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` that are not connected, meet in a column, and by their bit tables may share enough of their first entries.
+def all_open(first_entries: DataFrame, labels: DataFrame, read: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` that are not connected, meet in a column, and by their bit tables may share enough of their entries.
 
     Columns with the same smallest row form a block.  A pair of a block is multiplied in bits before it becomes a row: bits that differ
-    are entries only one has, so the overlap is at most half of what both hold less these.  A pair that also meets in one of the
-    ``EARLIER`` blocks before, by their ids, is left to that one.
+    are entries only one has, so the overlap is at most half of what both hold less these.  That is done with the first entries and with
+    whole rows (``bits`` of ``read``).  A pair that also meets in one of the ``EARLIER`` blocks before, by their ids, is left to that one.
     """
     rows = labelled(first_entries, labels)
     tops = rows.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high"),
@@ -244,13 +267,19 @@ def all_open(first_entries: DataFrame, labels: DataFrame) -> DataFrame:
                .withColumn("earlier", F.slice(earlier, F.greatest(at - EARLIER, F.lit(0)) + 1, F.least(at, F.lit(EARLIER))))
                .select(*known.columns, "earlier", F.col("block.id").alias("block"), F.col("block.label").alias("home")))
     members = saved(members, "gram-open")
+    tables = read.join(members.select("id").distinct(), "id", "left_semi").select("id", "bits").dropDuplicates(["id"])
+    members = members.join(tables, "id")
     foreign = members.where("label != home").drop("home")
     foreign = foreign.select("block", *[F.col(c).alias(f"{c}_x") for c in foreign.columns if c != "block"])
     differ = sum((F.bit_count(F.col(f"bits_{k}").bitwiseXOR(F.col(f"bits_{k}_x"))) for k in range(1, BIT_LONGS)),
                  F.bit_count(F.col("bits_0").bitwiseXOR(F.col("bits_0_x"))))
+    apart = sum((F.bit_count(F.col("bits")[k].bitwiseXOR(F.col("bits_x")[k])) for k in range(1, ROW_LONGS)),
+                F.bit_count(F.col("bits")[0].bitwiseXOR(F.col("bits_x")[0])))
+    both = F.col("n") + F.col("n_x")
     return (foreign.join(members, "block")
             .where((F.col("label") != F.col("label_x")) & ((F.col("label") == F.col("home")) | (F.col("id_x") < F.col("id")))
                    & may_link("n", "n_x", "most", "most_x") & (F.col("held") + F.col("held_x") - differ >= 2 * needed_column("n", "n_x"))
+                   & ((100 + SHARE_PERCENT) * (both - apart) >= 2 * SHARE_PERCENT * both)
                    & ~F.arrays_overlap("earlier", "earlier_x"))
             .select(F.least("id", "id_x").alias("a"), F.greatest("id", "id_x").alias("b")).distinct())
 
@@ -360,7 +389,7 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         pairs = likely(with_centers(first_entries, labels, salts), first_entries)
         found = found.unionByName(multiplied(pairs, sets, links))
         labels = components(found)
-    pairs = likely(all_open(first_entries, labels), first_entries)
+    pairs = likely(all_open(first_entries, labels, rows), first_entries)
     labels = components(found.unionByName(multiplied(pairs, whole_rows(docs, text, both_ids(pairs)), links)))
 
     grouped = rows.select("doc_id", "n", "id").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
