@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -266,3 +267,22 @@ def test_languages_of_repeated_rows(spark):
     assert model["names"] == ["de", "en", "fr"]
     asked = spark.createDataFrame([(k, t) for k, t in words.items()], "want string, text string")
     assert all(r.want == r.lang_pred for r in language_id.identify(asked, model).collect())
+
+
+def test_word_ids_of_stretches():
+    path = public_tokenizers.path(WORD_VOCABULARY)
+    ids, text = packing.WordIds(path), " two  blanks, a\nline <|endoftext|> İx and " * 40 + "z" * 300 + " end "
+    for most in (1, 7, 100, 5000):
+        parts = list(packing.stretches(text, most))
+        assert " ".join(parts) == text and (most > len(text)) == (len(parts) == 1)
+        assert np.array_equal(np.concatenate([ids([p])[0] for p in parts]), ids.encode(text))
+    assert list(packing.stretches("", 3)) == [""]
+
+
+def test_texts_in_groups():
+    texts = [None, "abc", "", "x" * 50, "de", "f" * 9, "g"]
+    for most in (1, 10, 1000):
+        groups = list(packing.in_groups(pa.array(texts), most))
+        assert [t for _, group in groups for t in group] == [t or "" for t in texts]
+        assert [first for first, _ in groups] == np.cumsum([0, *[len(group) for _, group in groups]])[:-1].tolist()
+        assert all(len(group) == 1 or sum(map(len, group)) <= most for _, group in groups)

@@ -33,13 +33,13 @@ SENTENCE_CUT, FORCED_CUT = 16.0, 256.0
 #: Sentence ends are considered once in so many tokens, forced cuts every so many.
 GRAIN, STRIDE = 32, 512
 #: Tokens packed in one run of the program, and words whose ids a worker remembers.
-RUN, REMEMBERED = 1 << 20, 250_000
+RUN, REMEMBERED = 1 << 19, 100_000
 #: Marks that may follow a word's letters, how many at most are looked up by themselves, and how many such endings are kept.
 MARKS, LONGEST_MARKS, MARKS_REMEMBERED = string.punctuation, 8, 100_000
 #: Letters below this one are Latin and composed.
 LATIN_END = "\u0250"
-#: A special token that splits any text, and the texts tokenised at once.
-BETWEEN, TOGETHER = "<|endoftext|>", 128
+#: A special token that splits any text, and the texts and letters tokenised at once.
+BETWEEN, TOGETHER, LETTERS = "<|endoftext|>", 128, 1 << 19
 PIECES = ("doc_id {id_type}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 
@@ -139,6 +139,29 @@ class WordIds:
         return [np.frombuffer(b"".join(row), "<u4") for row in found]
 
 
+def stretches(text: str, most: int = LETTERS) -> Iterator[str]:
+    """The text cut at blanks into stretches of at least ``most`` letters; the blanks at the cuts go, as `WordIds` splits there anyway."""
+    begin = 0
+    while 0 <= (end := text.find(" ", begin + most)):
+        yield text[begin:end]
+        begin = end + 1
+    yield text[begin:]
+
+
+def in_groups(column: pa.Array, most: int = LETTERS) -> Iterator[tuple[int, list[str]]]:
+    """Texts of a column, with the row of the first: at most ``TOGETHER`` of together about ``most`` letters, a longer one alone."""
+    group, letters = [], 0
+    for row, value in enumerate(column):
+        text = value.as_py() or ""
+        if group and (len(group) == TOGETHER or letters + len(text) > most):
+            yield row - len(group), group
+            group, letters = [], 0
+        group.append(text)
+        letters += len(text)
+    if group:
+        yield len(column) - len(group), group
+
+
 @cache
 def word_ids(path: str) -> WordIds:
     """One table of words per Python worker, for all its tasks."""
@@ -251,10 +274,9 @@ def pack(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str =
         held = 0
         for batch in batches:
             id_arrow = batch.schema.field(0).type
-            for group in range(0, len(batch), TOGETHER):
-                part = batch.slice(group, TOGETHER)
-                encoded = encode([t or "" for t in part.column(1).to_pylist()])
-                for name, ids in zip(part.column(0).to_pylist(), encoded):
+            for first, texts in in_groups(batch.column(1)):
+                encoded = encode(texts) if len(texts) > 1 else [np.concatenate([encode([part])[0] for part in stretches(texts[0])])]
+                for name, ids in zip(batch.column(0).slice(first, len(texts)).to_pylist(), encoded):
                     waiting.append((name, np.append(ids, end).astype("<u4"), 0, len(ids) + 1))
                     held += len(ids) + 1
                     if held >= run:
