@@ -250,6 +250,7 @@ oracle("warehouse_sql", """
     FROM regional WHERE viewers >= 100 GROUP BY region""", "regional")
 oracle("latest_state_get", "SELECT path, key, value_json FROM state WHERE path = 'audience/ASIA'", "state")
 oracle("campaign_json_scan", "SELECT * FROM campaigns", "campaigns")
+oracle("campaign_array_scan", "SELECT * FROM campaigns", "campaigns")
 
 # Posts and ad metrics
 oracle("tweets_recent_window", """

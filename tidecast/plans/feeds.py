@@ -9,6 +9,7 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidecast.functions.sentiment import classifier_score
@@ -155,6 +156,25 @@ def campaign_folder(spark: SparkSession, sf_dir: str) -> str:
     return derived(spark, sf_dir, "campaigns", write)
 
 
+def campaign_array_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The campaign files in their other layout: each file is one array over many lines, and a record takes several of them."""
+    def array(batches):
+        first = "["
+        for batch in batches:
+            if len(batch):
+                lines = [(first if k == 0 else ",") + day for k, day in enumerate(batch.column(0).to_pylist())]
+                yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+                first = ","
+        yield pa.RecordBatch.from_arrays([pa.array(["]" if first == "," else "[]"])], names=["value"])
+
+    def write(folder: str) -> None:
+        inner = F.expr("substr(value, 2, length(value) - 2)")
+        apart = F.regexp_replace(inner, r'(?<=[,{])"', '\n  "')
+        spark.read.text(campaign_folder(spark, sf_dir)).select(apart.alias("value")).mapInArrow(array, "value string").write.text(folder)
+
+    return derived(spark, sf_dir, "campaign-arrays", write)
+
+
 # --- posts ------------------------------------------------------------------------------------------------
 
 

@@ -284,6 +284,11 @@ def campaign_json_scan(spark, sf_dir):
     return read_campaigns(spark, feeds.campaign_folder(spark, sf_dir), one_array_per_file=False)
 
 
+@query("campaign_array_scan")
+def campaign_array_scan(spark, sf_dir):
+    return read_campaigns(spark, feeds.campaign_array_folder(spark, sf_dir), one_array_per_file=True)
+
+
 # --- posts and ad metrics ---------------------------------------------------------------------------------
 
 
