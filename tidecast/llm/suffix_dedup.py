@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tidecast.llm.common import byte_view, mix, powers, saved, text_of, with_columns
+from tidecast.llm.common import byte_view, mix, powers, saved, text_of
 from tidecast.llm.induced_sort import suffix_array
 from tidecast.llm.tables import WANTED_BITS, are_set, chunk_rows, merged, set_bits
 
@@ -263,8 +263,11 @@ def spans(starts: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return first[new], reach[np.append(np.flatnonzero(new)[1:] - 1, len(first) - 1)]
 
 
-def cut(docs: DataFrame, key: str, text: str, keep: tuple[str, ...]) -> DataFrame:
-    """Columns ``keep`` of ``docs``, with ``keep_`` before their names, and ``n_bytes, n_removed, n_spans, kept``."""
+def cut(docs: DataFrame, key: str, text: str, keep: tuple[str, ...], decoded: bool = False) -> DataFrame:
+    """Columns ``keep`` of ``docs``, with ``keep_`` before their names, and ``n_bytes, n_removed, n_spans, kept``.
+
+    ``kept`` are bytes, or text without what a cut leaves of a character: texts then pass through one worker only.
+    """
     own = F.xxhash64(F.col(key), text_of(text))
     found = repeated_windows(docs.select(own.alias("doc"), text_of(text).alias("text")))
     found = found.groupBy("doc").agg(F.collect_list("start").alias("starts"), F.collect_list("windows").alias("windows"))
@@ -285,13 +288,14 @@ def cut(docs: DataFrame, key: str, text: str, keep: tuple[str, ...]) -> DataFram
                     stay, n = np.cumsum(edge[:-1]) == 0, len(first)
                 gone.append(b - a - int(stay.sum()))
                 number.append(n)
-                kept.append(data[a:b][stay].tobytes())
+                left = data[a:b][stay].tobytes()
+                kept.append(left.decode("utf-8", "ignore") if decoded else left)
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(keep))] + [pa.array(np.diff(offsets)), pa.array(gone, pa.int64()),
-                                             pa.array(number, pa.int64()), pa.array(kept, pa.binary())], names=schema.names)
+                                             pa.array(number, pa.int64()), pa.array(kept, pa.string() if decoded else pa.binary())], names=schema.names)
 
     from pyspark.sql.types import StructType
 
-    schema = StructType([*wide.schema.fields[:len(keep)], *StructType.fromDDL("n_bytes long, n_removed long, n_spans long, kept binary").fields])
+    schema = StructType([*wide.schema.fields[:len(keep)], *StructType.fromDDL(f"n_bytes long, n_removed long, n_spans long, kept {'string' if decoded else 'binary'}").fields])
     return wide.mapInArrow(run, schema)
 
 
@@ -304,6 +308,5 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: tupl
 def clean(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the repeated bytes taken out of their texts; what a cut leaves of a character goes too, NULL texts stay NULL."""
     own = tuple(c for c in docs.columns if c != text)
-    out = cut(docs.withColumn("__null", F.col(text).isNull()), key, text, (*own, "__null"))
-    out = with_columns(out, "__text string", lambda c: [pa.array([v.as_py().decode("utf-8", "ignore") for v in c[0]], pa.string())], ["kept"])
-    return out.select(*[F.when(~F.col("keep___null"), F.col("__text")).alias(text) if c == text else F.col(f"keep_{c}").alias(c) for c in docs.columns])
+    out = cut(docs.withColumn("__null", F.col(text).isNull()), key, text, (*own, "__null"), decoded=True)
+    return out.select(*[F.when(~F.col("keep___null"), F.col("kept")).alias(text) if c == text else F.col(f"keep_{c}").alias(c) for c in docs.columns])
