@@ -70,3 +70,50 @@ def test_documents_without_an_event_are_posts_too(spark, tmp_path):
     lone = posts.where("doc_id % 3 = 0").first()
     assert (lone.event_type, lone.author_id, lone.created_at) == ("none", "0", "2024-01-01T00:00:00.000000Z")
     assert posts.where("doc_id % 3 = 1 AND event_type = 'none'").count() == 0
+
+
+def odd_tables(spark, folder):
+    """Documents and events whose numbers repeat or are missing, and two customers."""
+    def put(name, rows, schema):
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+
+    put("documents", [(1, "one", "en", 3), (1, "one again", "de", 9), (2, "two", "fr", 3), (None, "lost", "en", 4), (None, None, None, None), (7, "quiet", "es", 5)],
+        "doc_id long, text string, lang string, n_chars long")
+    at = datetime.datetime(2024, 1, 1, 12)
+    put("events", [(1, at, 5, "click"), (1, at + datetime.timedelta(hours=1), 6, "view"), (2, at, 5, "error"), (None, at, 6, "view"), (9, at, 6, "view"), (7, None, 5, None)],
+        "event_id long, ts timestamp, user_id long, event_type string")
+    put("customer", [(5, "Customer#5", 0, 6000.0, "A"), (0, "Customer#0", 0, 1.0, "B")], "c_custkey long, c_name string, c_nationkey long, c_acctbal double, c_mktsegment string")
+    put("nation", [(0, "N", 0)], "n_nationkey long, n_name string, n_regionkey long")
+    put("region", [(0, "ASIA")], "r_regionkey long, r_name string")
+    return str(folder)
+
+
+def test_posts_with_authors_are_the_plain_joins_of_odd_numbers(spark, tmp_path):
+    folder = odd_tables(spark, tmp_path)
+    found = feeds.posts_with_authors(spark, folder)
+    plain = ops.join_authors(feeds.raw_posts(spark, folder), feeds.user_versions(spark, folder), "version")
+
+    def listed(posts):
+        return sorted(r.j for r in posts.select(F.to_json(F.struct(*sorted(plain.columns))).alias("j")).collect())
+    assert found.count() == 4 + 1 + 2 + 1
+    assert found.where("user.id = '0'").count() == 2
+    assert listed(found) == listed(plain)
+
+
+def test_a_text_is_shuffled_once_and_never_sorted_for_its_author(spark, tmp_path):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        posts = feeds.post_messages(spark, odd_tables(spark, tmp_path))
+        plan = posts._jdf.queryExecution().executedPlan()
+        nodes = [plan.initialPlan()]
+        moved, sorts = 0, 0
+        while nodes:
+            node = nodes.pop()
+            nodes += [node.children().apply(k) for k in range(node.children().size())]
+            if "text#" in node.output().mkString(","):
+                moved += "Exchange" in node.nodeName()
+                sorts += node.nodeName() == "Sort"
+        assert (moved, sorts) == (1, 0)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
