@@ -7,7 +7,7 @@ from tidecast.operators import flatten
 from tidecast.schemas import ADS, POST, VIEWERSHIP
 from tidecast.sources.campaigns import read_campaigns
 from tidecast.sources.messages import (
-    kafka_options, message_batch, parse_ads, parse_posts, parse_rejects, parse_viewership, payload,
+    decode, decode_once, kafka_options, message_batch, parse_ads, parse_posts, parse_rejects, parse_viewership, parsed_rows, payload, rejected_rows,
 )
 from tidecast.sources.warehouse import warehouse_sql
 from tidecast.operators.ad_metrics import ad_metrics, regional_ad_metrics
@@ -130,3 +130,17 @@ def test_warehouse_sql_binds_values(spark):
 
 def test_schemas_name_every_field():
     assert [len(s.fields) for s in (POST, VIEWERSHIP, ADS)] == [9, 4, 2]
+
+
+def test_a_kept_batch_holds_payloads_of_rejects_only(messages):
+    good, timeless = json.dumps(VIEW), json.dumps({**VIEW, "timestamp": "soon"})
+    texts = [good, timeless, "broken", "{}", "", None]
+    kept = decode_once(messages(*texts), VIEWERSHIP, "timestamp")
+    whole = decode(messages(*texts), VIEWERSHIP)
+    assert kept.where("value is not null").count() == 4
+    assert good not in {r.value for r in kept.collect()}
+
+    def rows(found):
+        return sorted(map(repr, found.collect()))
+    assert rows(rejected_rows(kept, VIEWERSHIP, "timestamp")) == rows(rejected_rows(whole, VIEWERSHIP, "timestamp"))
+    assert rows(parsed_rows(kept, VIEWERSHIP, "timestamp", "event_ts")) == rows(parsed_rows(whole, VIEWERSHIP, "timestamp", "event_ts"))
