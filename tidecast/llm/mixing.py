@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidecast.llm.common import WORD_PATTERN, saved, text_of
+from tidecast.llm.tables import looked_up
 
 WEIGHTS, CAP = (5, 2, 1), 3
 #: Rows that meet in a bucket of the lowest level, and buckets that one of the next level takes in.
@@ -171,6 +172,6 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     """``docs`` with each row as often as the mix takes it."""
     columns = docs.columns
     numbered = saved(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-rows")
-    taken = copies(numbered, key, text, source, weights, cap, carry="__row").where("copies > 0").select("__row", "copies")
-    rows = numbered.join(taken.withColumnRenamed("copies", "__copies"), "__row")
+    taken = saved(copies(numbered, key, text, source, weights, cap, carry="__row").select("__row", F.col("copies").alias("__copies")), "mix-taken")
+    rows = looked_up(numbered, taken, "__row", "__copies")
     return rows.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__copies").cast("int")))).select(*columns)

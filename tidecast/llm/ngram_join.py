@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidecast.llm.common import WHITE, byte_view, mix, powers, saved, slices
 from tidecast.llm.components import components
-from tidecast.llm.tables import WANTED_BITS, chunk_rows, is_set, merged, set_bits
+from tidecast.llm.tables import bit_table, chunk_rows, is_set, merged
 
 WORDS, SHARE_PERCENT = 5, 80
 #: Counters of the frequency table, whatever the input's size.
@@ -311,15 +311,8 @@ def possible(pairs: DataFrame, first_entries: DataFrame) -> DataFrame:
 
 def whole_rows(docs: DataFrame, text: str, ids: DataFrame) -> DataFrame:
     """``id, grams`` of the wanted rows.  A bit table of fixed size says which may be wanted; what it lets through by chance is joined away."""
-    def mark(batches):
-        table = np.zeros(WANTED_BITS >> 3, np.uint8)
-        for batch in batches:
-            set_bits(table, batch.column(0).to_numpy())
-        yield chunk_rows(table, TaskContext.get().partitionId())
-
     ids = saved(ids.select("id").distinct(), "gram-wanted")
-    bits = merged(ids.mapInArrow(mark, "chunk long, part long, data binary"), WANTED_BITS >> 3, "u1", np.bitwise_or)
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    shared = docs.sparkSession.sparkContext.broadcast(bit_table(ids))
 
     def read(batches):
         wanted = shared.value
