@@ -92,6 +92,42 @@ def test_suffix_dedup_without_rows(docs):
     assert suffix_dedup.removed(docs.limit(0), keep=("doc_id",)).count() == 0
 
 
+def word_runs(texts, n):
+    """Each text without the bytes of runs of ``n`` words, or of 400 bytes, that start anywhere else too."""
+    data, gone = repeated(texts, 400)
+    own = [list(re.finditer(rb"[^\x20\x09-\x0D]+", t)) for t in data]
+    runs = Counter(tuple(m[0] for m in w[k:k + n]) for w in own for k in range(len(w) - n + 1))
+    for w, g in zip(own, gone):
+        for k in range(len(w) - n + 1):
+            if runs[tuple(m[0] for m in w[k:k + n])] > 1:
+                g[w[k].start():w[k + n - 1].end()] = True
+    return [bytes(np.frombuffer(t, np.uint8)[~g]).decode("utf-8", "ignore") for t, g in zip(data, gone)]
+
+
+def test_repeated_passages(spark):
+    rng = random.Random(8)
+    short = [" ".join(rng.choice("abcdefgh") for _ in range(n)) for n in (49, 50, 70)]
+    out = [None, "", " \t ", "x" * 900, "ab " * 60, words(rng, 300)]
+    for k, passage in enumerate([*short, short[1].replace(" ", "\n"), words(rng, 55), words(rng, 150)]):
+        out += [f"{words(rng, 20 + k)} {passage} {words(rng, 30)}", f"{passage}\n{words(rng, 9)}", f" {words(rng, 70)}{passage}é {passage}"]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(out)], "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.text for r in suffix_dedup.clean(docs, passages=True).collect()}
+    assert got.pop(0) is None
+    want = word_runs(out, 50)
+    assert got == dict(enumerate(want[1:], 1)) and want[5] == out[5] and sum(a != b for a, b in zip(out, want)) > 12
+    assert suffix_dedup.clean(docs.limit(0), passages=True).count() == 0
+
+
+def test_words_as_bytes():
+    texts = [None, "ab cd\tab", "", "ab", "\n", "cdab " + "z" * 70 + "é", "z" * 70 + "é"]
+    data, offsets = suffix_dedup.word_view(pa.array(texts).slice(0))
+    ids = [data[a:b].view(np.uint64).tolist() for a, b in zip(offsets, offsets[1:])]
+    assert [len(i) for i in ids] == [0, 3, 0, 1, 0, 2, 1] and ids[1][0] == ids[1][2] == ids[3][0] and ids[5][1] == ids[6][0]
+    assert len({c for i in ids for c in i}) == 4
+    few = suffix_dedup.word_view(pa.array(texts).slice(3, 3))
+    assert few[0].tobytes() == data[offsets[3]:offsets[6]].tobytes() and few[1].tolist() == [0, 8, 8, 24]
+
+
 def grams(text):
     lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
     own = re.findall(r"[^\x20\x09-\x0D]+", lower)

@@ -44,6 +44,16 @@ def test_odd_rows(spark, name, stage):
     assert stage(spark, empty, SF_DIR).count() == 0
 
 
+def test_passages_of_over_50_words_are_taken_out(spark):
+    passage = " ".join(f"p{k}" for k in range(52))
+    line, clean = " ".join(f"l{k}" for k in range(40)), " ".join(f"c{k}" for k in range(80))
+    assert len(passage.encode()) < 400
+    rows = [(k, f"head{k} {passage}\ntail{k}") for k in range(3)] + [(3, f"{clean} {line}"), (4, f"other {line}"), (5, passage), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = {r.doc_id: r.text for r in corpus_pipeline.without_repeats(spark, docs, SF_DIR).collect()}
+    assert out == {k: f"head{k} \ntail{k}" for k in range(3)} | {3: f"{clean} {line}", 4: f"other {line}"}
+
+
 def test_near_copies_with_null_and_repeated_ids(spark):
     base, other = ([f"{name}{k}" for k in range(60)] for name in ("w", "v"))
     near = [" ".join(base[:-1] + [f"end{k}"]) for k in range(6)]
